@@ -1,0 +1,93 @@
+"""Brute-force model of the results in plain Python, for small inputs."""
+
+from __future__ import annotations
+
+from collections import Counter, defaultdict
+
+import regex
+
+from wordloom.fixed_values import STOP_WORDS
+
+BLANKS = "".join(map(chr, range(33)))
+DROPPED_STARTS = ("WARC/", "WARC-", "Content-", "Software-", "Extracted-")
+DROPPED_KEYS = ("robots:", "ispartof:", "operator:", "publisher:", "description:")
+FIELD = regex.compile(r"([A-Za-z][A-Za-z0-9_-]*):[ \t\n\x0b\f\r]([^\n\r\x85\u2028\u2029]*)")
+REMOVED = [
+    regex.compile(p)
+    for p in (
+        r"https?://[^ \t\n\x0b\f\r]+|www\.[^ \t\n\x0b\f\r]+",
+        r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}",
+        r"&[a-zA-Z]+;|&#[0-9]+;",
+    )
+]
+
+
+def units(word: str) -> int:
+    return len(word.encode("utf-16-be")) // 2
+
+
+def is_header(line: str) -> bool:
+    text = line.strip(BLANKS)
+    if text == "" or text.startswith(DROPPED_STARTS):
+        return True
+    if text.lower().startswith(DROPPED_KEYS):
+        return True
+    field = FIELD.fullmatch(text)
+    name = field[1].lower() if field else ""
+    return name.startswith("warc") or name in ("content-type", "content-length")
+
+
+def without(line: str, step: int) -> str:
+    return REMOVED[step].sub("", line)
+
+
+def words(lines, min_length=2) -> Counter:
+    found = Counter()
+    for line in lines:
+        if is_header(line):
+            continue
+        for step in range(3):
+            line = without(line, step)
+        spaced = regex.sub(r"[^\p{L} \t\n\x0b\f\r]+", " ", line.lower())
+        found.update(w for w in spaced.split() if units(w) >= min_length)
+    return found
+
+
+def lengths(counts) -> dict[int, int]:
+    result = Counter()
+    for word, n in counts.items():
+        result[units(word)] += n
+    return dict(result)
+
+
+def letters(counts) -> dict[tuple[str, str], int]:
+    result = Counter()
+    for word, n in counts.items():
+        for pos, c in enumerate(word.lower()):
+            if ord(c) < 0x10000 and regex.match(r"\p{L}", c):
+                result["CHAR", c] += n
+                if pos == 0:
+                    result["FIRST", c] += n
+    return dict(result)
+
+
+def top(counts, n=1000) -> list[tuple[str, int]]:
+    return sorted(counts.items(), key=lambda e: (-e[1], e[0].encode()))[:n]
+
+
+def final(counts, n=1000, min_count=10) -> dict[str, tuple[int, bool]]:
+    best = {w for w, _ in top(counts, n)}
+    return {
+        w: (c, w in best)
+        for w, c in counts.items()
+        if w.lower() not in STOP_WORDS and c > 0 and (w in best or c >= min_count)
+    }
+
+
+def summary(rows) -> tuple:
+    per_length = defaultdict(int)
+    for w in rows:
+        per_length[units(w)] += 1
+    total = sum(c for c, _ in rows.values())
+    common = min(per_length, key=lambda k: (-per_length[k], k), default=0)
+    return total, len(rows), total / len(rows) if rows else None, common

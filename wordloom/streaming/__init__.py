@@ -1,0 +1,5 @@
+"""Nothing to build here: every job of the engine is a batch job.
+
+The cleaning operators keep no state, so they also accept a streaming
+DataFrame of lines.
+"""
