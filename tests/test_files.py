@@ -1,0 +1,345 @@
+"""Readers, writers and whole runs over files."""
+
+import gzip
+import re
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+import wordloom as w
+from wordloom import __main__ as cli
+from wordloom import fixed_values as fixed
+from wordloom.operators.ranking import top_words
+from wordloom.plans import stages
+from wordloom.sinks import tables, text
+from wordloom.sources import manifest
+from wordloom.sources import words as readers
+from wordloom.sources.lines import read_lines, split_lines, spread
+
+FOUR_LINES = "hello world\nhello hadoop\nhadoop mapreduce\nworld data\n"
+
+
+def content(path):
+    """All lines of a written directory, part file by part file."""
+    parts = sorted(path.glob("part-*"))
+    return [line for p in parts for line in p.read_text(encoding="utf8").splitlines()]
+
+
+# --- readers -----------------------------------------------------------------
+
+
+def test_lines_end_at_lf_cr_or_crlf(spark, tmp_path):
+    raw = "one\ntwo\rthree\r\nfour\n\nsix"
+    (tmp_path / "a.txt").write_bytes(raw.encode())
+    expected = ["", "four", "one", "six", "three", "two"]
+    assert sorted(r["line"] for r in read_lines(spark, str(tmp_path)).collect()) == expected
+    texts = spark.createDataFrame([(1, raw)], "id int, text string")
+    assert sorted(r["line"] for r in split_lines(texts).collect()) == expected
+    assert split_lines(texts).columns == ["id", "line"]
+
+
+def test_all_plain_and_compressed_files_are_read(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("\ufeffplain\n", encoding="utf8")
+    (tmp_path / "b.gz").write_bytes(gzip.compress(b"packed\n"))
+    (tmp_path / "_hidden").write_text("hidden\n")
+    (tmp_path / ".hidden").write_text("hidden\n")
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "c.txt").write_text("below\n")
+    rows = read_lines(spark, str(tmp_path)).collect()
+    assert sorted((r["file"].rsplit("/", 1)[1], r["line"]) for r in rows) == [
+        ("a.txt", "plain"), ("b.gz", "packed"),
+    ]
+
+
+def test_spread_only_splits_up_a_small_input(spark):
+    df = spark.range(0, 100, 1, 2)
+    assert spread(df, 8).rdd.getNumPartitions() == 8
+    assert spread(df, 8).count() == 100
+    assert spread(df, 2) is df
+
+
+def test_first_words(lines_of):
+    rows = ["hello\t", "  a b", "", " \t ", "x\x0by", "\x01tail\x02", "end\x1f", "\xa0nbsp z"]
+    words = readers.first_words(lines_of(rows).withColumn("file", F.lit("f")))
+    assert words.columns == ["file", "word"]
+    assert sorted(r["word"] for r in words.collect()) == sorted(
+        ["hello", "a", "x", "tail", "end", "\xa0nbsp"]
+    )
+
+
+PARSED = [
+    ("word\t5", 5, 5),
+    ("plus\t+5", 5, 5),
+    ("minus\t-5", -5, -5),
+    (" lead\t5", 5, 5),
+    ("blank\t 5", None, 5),
+    ("big\t2147483648", 2147483648, 2147483648),
+    ("word", None, None),
+    ("", None, None),
+    ("   ", None, None),
+]
+
+
+def test_lenient_and_strict_counts(lines_of):
+    lines = lines_of([line for line, _, _ in PARSED])
+    for read, column in ((readers.lenient_counts, 1), (readers.strict_counts, 2)):
+        found = sorted((r["word"], r["cnt"]) for r in read(lines).collect())
+        expected = sorted(
+            (p[0].strip().split("\t")[0], p[column]) for p in PARSED if p[column] is not None
+        )
+        assert found == expected
+    assert "big" not in {r["word"] for r in readers.lenient_counts(lines, bits=32).collect()}
+
+
+@pytest.mark.parametrize("bad", ["5x", "5.0", "", "+", "1 2", "9223372036854775808"])
+def test_malformed_counts(lines_of, bad):
+    lines = lines_of([f"word\t{bad} x" if bad == "" else f"word\t{bad}", "good\t1"])
+    assert [r["word"] for r in readers.lenient_counts(lines).collect()] == ["good"]
+    with pytest.raises(PySparkException, match="not a count"):
+        readers.strict_counts(lines).collect()
+
+
+def test_strict_counts_in_32_bits(lines_of):
+    with pytest.raises(PySparkException, match="not a count"):
+        readers.strict_counts(lines_of(["word\t2147483648"]), bits=32).collect()
+
+
+def test_strict_counts_fail_without_ansi_too(spark, lines_of):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(PySparkException, match="not a count"):
+            readers.strict_counts(lines_of(["word\t5x"])).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_marked_words(lines_of):
+    rows = readers.marked_words(lines_of(["a\t5", "b", "", "c d\tx\ty"])).collect()
+    assert [(r["word"], r["top_n"]) for r in rows] == [("a", True), ("b", True), ("c d", True)]
+
+
+# --- manifests -----------------------------------------------------------------
+
+
+def test_manifest_is_numbered_across_splits(spark, tmp_path):
+    paths = [f"crawl/segment{i % 7}/file-{i}.gz" for i in range(2000)]
+    text_of = "".join(f" {p} \n" + "\n" * (i % 3) for i, p in enumerate(paths))
+    (tmp_path / "paths").write_text(text_of)
+    default = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        read = manifest.read_manifest(spark, str(tmp_path / "paths"))
+        assert spark.read.text(str(tmp_path / "paths")).rdd.getNumPartitions() > 5
+        found = {r["file_id"]: r["path"] for r in read.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+    assert found == dict(enumerate(paths))
+
+
+def test_manifest_sample_is_exact_and_repeatable(spark):
+    rows = [(i, f"p/{i}") for i in range(500)] + [(500, "p/0")]
+    paths = spark.createDataFrame(rows, "file_id bigint, path string")
+    first = manifest.sample_manifest(paths).collect()
+    assert len(first) == len(set(first)) == 100
+    assert manifest.sample_manifest(paths.repartition(7)).collect() == first
+    assert manifest.sample_manifest(paths, seed=7).collect() != first
+    assert manifest.sample_manifest(paths.limit(3)).count() == 3
+
+
+def test_file_ids_by_base_name(spark):
+    paths = spark.createDataFrame(
+        [(0, "x/a.gz"), (1, "y/b.gz"), (2, "z/a.gz"), (3, "dir/")], "file_id bigint, path string"
+    )
+    files = spark.createDataFrame([("/in/a.gz",), ("/in/b.gz",), ("/in/c.gz",)], "file string")
+    rows = manifest.with_file_ids(files, paths).collect()
+    assert sorted((r["name"], r["file_id"], r["data_name"]) for r in rows if r["file_id"] is not None) == [
+        ("a.gz", 2, "data-2"), ("b.gz", 1, "data-1"),
+    ]
+    assert [r["name"] for r in manifest.unmatched_files(files, paths).collect()] == ["c.gz"]
+
+
+def test_inventory(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"x" * 1000)
+    (tmp_path / "b").write_bytes(b"x" * 24)
+    files = manifest.list_files(spark, str(tmp_path))
+    assert manifest.input_inventory(files).first()[:] == (2, 1024, 1 / 1024, 1 / 1024**2)
+
+
+# --- writers -------------------------------------------------------------------
+
+
+def test_csv_exports(spark, tmp_path):
+    counts = spark.createDataFrame([("b", 2), ("a", 2), ("c", 9)], "word string, cnt bigint").coalesce(1)
+    text.write_word_count_csv(counts, str(tmp_path / "counts"))
+    assert content(tmp_path / "counts") == ["a,2", "b,2", "c,9"]
+    text.write_top_csv(top_words(counts, 2), str(tmp_path / "top"), header=True)
+    assert content(tmp_path / "top") == ["rank,word,count", "1,c,9", "2,a,2"]
+
+
+def test_text_is_sorted_replaced_and_compressed(spark, tmp_path):
+    counts = spark.createDataFrame([("é", 2), ("b", 2), ("a", 9)], "word string, cnt bigint").coalesce(1)
+    out = tmp_path / "out"
+    for _ in range(2):
+        text.write_lines(text.count_lines(counts), str(out))
+    assert content(out) == ["a\t9", "b\t2", "é\t2"]
+    text.write_lines(text.count_lines(counts), str(out), compression="gzip")
+    packed = [gzip.decompress(p.read_bytes()).decode() for p in out.glob("part-*.gz")]
+    assert packed == ["a\t9\nb\t2\né\t2\n"]
+
+
+def test_rendered_average_rounds_half_up(spark):
+    stats = spark.createDataFrame([(2, 1, 0.125)], "length int, cnt bigint, avg_per_partition double")
+    assert text.length_lines(stats).first()["value"] == "count=1, avg_per_partition=0.13"
+
+
+def test_summary_of_nothing_has_no_average(spark):
+    none = spark.createDataFrame(
+        [(0, 0, None, 0)],
+        "total_word_occurrences bigint, unique_words bigint, avg_frequency double, most_common_length int",
+    )
+    assert tuple(text.summary_lines(none).first()) == (
+        "### SUMMARY_STATISTICS ###",
+        "total_word_occurrences=0, unique_words=0, most_common_length=0",
+    )
+
+
+def test_work_folder_comes_from_the_session(spark, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert tables.work_path(spark, "/nowhere").startswith(shared + "/wordloom-")
+    spark.conf.unset("spark.checkpoint.dir")
+    try:
+        assert tables.work_path(spark, "/out/").startswith("/out_wordloom-")
+    finally:
+        spark.conf.set("spark.checkpoint.dir", shared)
+    assert tables.work_path(spark, "x") != tables.work_path(spark, "x")
+
+
+# --- whole runs ----------------------------------------------------------------
+
+
+@pytest.fixture
+def four_lines(tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "test.txt").write_text(FOUR_LINES)
+    return raw
+
+
+EXPECTED_FINAL = [
+    "data\tcount=1, length=4, category=MEDIUM, topN=true",
+    "hadoop\tcount=2, length=6, category=MEDIUM, topN=true",
+    "hello\tcount=2, length=5, category=MEDIUM, topN=true",
+    "mapreduce\tcount=1, length=9, category=LONG, topN=true",
+    "world\tcount=2, length=5, category=MEDIUM, topN=true",
+]
+EXPECTED_SUMMARY = (
+    "### SUMMARY_STATISTICS ###\ttotal_word_occurrences=8, unique_words=5, "
+    "avg_frequency=1.60, most_common_length=5"
+)
+
+
+def check_text_results(out):
+    one, two, three, four, five, six = (content(out / d) for d in fixed.STAGE_DIRS)
+    assert sorted(one) == sorted(f"{x}\t" for x in FOUR_LINES.split())
+    assert sorted(two) == ["data\t1", "hadoop\t2", "hello\t2", "mapreduce\t1", "world\t2"]
+    assert [line.split(",")[0] for line in three] == [
+        "4\tcount=1", "5\tcount=4", "6\tcount=2", "9\tcount=1",
+    ]
+    assert four[-1] == "TOTAL_CHARS\t53" and four[:-1] == sorted(four[:-1])
+    letters = dict(line.split("\t") for line in four[:-1])
+    firsts = {k: int(v) for k, v in letters.items() if k.startswith("FIRST_")}
+    assert firsts == {"FIRST_d": 1, "FIRST_h": 4, "FIRST_m": 1, "FIRST_w": 2}
+    assert sum(map(int, letters.values())) == 53
+    assert five == ["hadoop\t2", "hello\t2", "world\t2", "data\t1", "mapreduce\t1"]
+    assert sorted(six[:-1]) == EXPECTED_FINAL and six[-1] == EXPECTED_SUMMARY
+
+
+def test_text_run(spark, four_lines, tmp_path):
+    out = tmp_path / "out"
+    for _ in range(2):  # the second run replaces the first
+        paths = w.run_pipeline(spark, str(four_lines), str(out))
+    assert list(paths) == list(fixed.STAGE_DIRS)
+    check_text_results(out)
+    assert content(out / "stage3_wordlength")[1] == "5\tcount=4, avg_per_partition=4.00"
+    assert sorted(p.name for p in out.iterdir()) == sorted(fixed.STAGE_DIRS)
+
+
+def test_parquet_run(spark, four_lines, tmp_path):
+    paths = w.run_pipeline(spark, str(four_lines), str(tmp_path / "out"), layout="parquet")
+    read = lambda stage: spark.read.parquet(paths[stage])
+    assert read("stage1_cleaned").count() == 8
+    assert read("stage2_wordcount").count() == 5
+    assert read("stage3_wordlength").columns == ["length", "cnt", "avg_per_partition"]
+    assert read("stage4_alphabet").where("kind = 'TOTAL_CHARS'").first()["cnt"] == 53
+    assert read("stage5_topn").orderBy("rank").first()[:] == (1, "hadoop", 2)
+    final = paths["stage6_final"]
+    assert spark.read.parquet(f"{final}/ranking").count() == 5
+    assert spark.read.parquet(f"{final}/summary").first()[:] == (8, 5, 1.6, 5)
+
+
+def test_the_average_is_per_raw_file(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "a.txt").write_text("aa bb cc\n")
+    (raw / "b.txt").write_text("dd eee\n")
+    for layout in ("text", "parquet"):
+        w.run_pipeline(spark, str(raw), str(tmp_path / layout), layout=layout)
+    assert content(tmp_path / "text" / "stage3_wordlength") == [
+        "2\tcount=4, avg_per_partition=2.00", "3\tcount=1, avg_per_partition=1.00",
+    ]
+    rows = spark.read.parquet(str(tmp_path / "parquet" / "stage3_wordlength")).orderBy("length")
+    assert [tuple(r) for r in rows.collect()] == [(2, 4, 2.0), (3, 1, 1.0)]
+
+
+def test_single_jobs_in_sequence(spark, four_lines, tmp_path):
+    out = tmp_path / "out"
+    one, two, three, four, five, six = (str(out / d) for d in fixed.STAGE_DIRS)
+    stages.clean_text(spark, str(four_lines), one)
+    stages.count_words(spark, one, two)
+    stages.word_length_stats(spark, one, three)
+    stages.alphabet_distribution(spark, one, four)
+    stages.top_n_words(spark, two, five)
+    stages.final_analysis(spark, two, five, six)
+    check_text_results(out)
+    assert sorted(p.name for p in out.iterdir()) == sorted(fixed.STAGE_DIRS)
+
+
+def test_final_analysis_fails_on_a_bad_count(spark, tmp_path):
+    (tmp_path / "counts").write_text("word\tmany\n")
+    (tmp_path / "top").write_text("word\t1\n")
+    with pytest.raises(PySparkException, match="not a count"):
+        stages.final_analysis(spark, *(str(tmp_path / d) for d in ("counts", "top", "out")))
+
+
+def test_one_line(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "t").write_text("test data test")
+    w.run_pipeline(spark, str(tmp_path / "raw"), str(tmp_path / "out"))
+    assert sorted(content(tmp_path / "out" / "stage2_wordcount")) == ["data\t1", "test\t2"]
+
+
+def test_an_empty_input_is_an_error(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    with pytest.raises(ValueError, match="no input files"):
+        w.run_pipeline(spark, str(tmp_path / "raw"), str(tmp_path / "out"))
+    with pytest.raises(ValueError, match="layout"):
+        w.run_pipeline(spark, str(tmp_path / "raw"), str(tmp_path / "out"), layout="xml")
+
+
+def test_input_without_words(spark, tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "t").write_text("WARC/1.0\n\n")
+    w.run_pipeline(spark, str(tmp_path / "raw"), str(tmp_path / "out"))
+    assert content(tmp_path / "out" / "stage4_alphabet") == ["TOTAL_CHARS\t0"]
+    assert content(tmp_path / "out" / "stage6_final") == [
+        "### SUMMARY_STATISTICS ###\ttotal_word_occurrences=0, unique_words=0, most_common_length=0"
+    ]
+
+
+def test_command_line(spark, four_lines, tmp_path, capsys):
+    assert cli.main(["only-one"]) == -1
+    assert "usage" in capsys.readouterr().err
+    assert cli.main([str(four_lines), str(tmp_path / "out")]) == 0
+    assert re.search("stage6_final: .*/out/stage6_final", capsys.readouterr().out)
+    check_text_results(tmp_path / "out")

@@ -107,9 +107,15 @@ def utf16_length(c: Column | str) -> Column:
     )
 
 
-def bmp_letters(c: Column | str) -> Column:
-    """Array of the letters of a word; letters beyond U+FFFF do not count."""
-    return F.regexp_extract_all(_col(c), F.lit(_BMP_LETTER), F.lit(0))
+def has_min_length(c: Column | str, n: int) -> Column:
+    """``utf16_length(c) >= n``; long enough in characters is long enough."""
+    c = _col(c)
+    return (F.length(c) >= n) | (utf16_length(c) >= n)
+
+
+def is_bmp_letter(c: Column | str) -> Column:
+    """True for a single letter up to U+FFFF; letters beyond do not count."""
+    return _col(c).rlike(_BMP_LETTER)
 
 
 def word_category(length: Column | str) -> Column:

@@ -39,4 +39,4 @@ def clean_words(
     cleaned = strip_noise(drop_header_lines(lines))
     others = [c for c in lines.columns if c != "line"]
     words = cleaned.select(*others, F.explode(text.letter_runs("line")).alias("word"))
-    return words.where(text.utf16_length("word") >= max(min_length, 1))
+    return words.where(text.has_min_length("word", max(min_length, 1)))

@@ -12,24 +12,25 @@ from wordloom.functions import text
 def letter_counts(counts: DataFrame) -> DataFrame:
     """``kind, letter, cnt`` with kind FIRST (initials) and CHAR (all letters).
 
-    Works on ``word, cnt``: the letters of a word are looked at once and
+    Works on ``word, cnt``: the characters of a word are looked at once and
     weighted with its count. Both kinds come from the same aggregate, so there
-    is one pass and one shuffle of at most one row per letter and task.
+    is one pass and one shuffle of at most one row per character and task.
+
+    Whether a character is a letter is asked once per distinct character: as
+    part of ``cnt``, for a filter on ``letter`` would move below the aggregate.
     """
-    letters = counts.select("cnt", F.lower("word").alias("word")).select(
-        "cnt",
-        F.substring("word", 1, 1).alias("initial"),
-        F.posexplode(text.bmp_letters("word")).alias("pos", "letter"),
+    characters = counts.select(
+        "cnt", F.posexplode(F.split(F.lower("word"), "")).alias("pos", "letter")
     )
-    is_first = (F.col("pos") == 0) & (F.col("letter") == F.col("initial"))
-    per_letter = letters.groupBy("letter").agg(
-        F.sum(F.when(is_first, F.col("cnt"))).alias("FIRST"),
+    per_character = characters.groupBy("letter").agg(
+        F.sum(F.when(F.col("pos") == 0, F.col("cnt"))).alias("FIRST"),
         F.sum("cnt").alias("CHAR"),
     )
+    cnt = F.when(text.is_bmp_letter("letter"), F.col("cnt"))
     return (
-        per_letter.unpivot("letter", ["FIRST", "CHAR"], "kind", "cnt")
+        per_character.unpivot("letter", ["FIRST", "CHAR"], "kind", "cnt")
+        .select("kind", "letter", cnt.alias("cnt"))
         .where(F.col("cnt").isNotNull())
-        .select("kind", "letter", "cnt")
     )
 
 

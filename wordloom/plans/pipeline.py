@@ -49,7 +49,7 @@ def run_pipeline(
     cleaned, counted, lengths, alphabet, topped, final = fixed.STAGE_DIRS
 
     as_text = layout == "text"
-    work = tables.work_path(spark, f"{base}/_work") if as_text else base
+    work = tables.work_path(spark, base) if as_text else base
 
     def table(df: DataFrame, name: str) -> DataFrame:
         return tables.write_table(df, f"{work}/{name}")

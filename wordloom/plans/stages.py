@@ -74,7 +74,7 @@ def final_analysis(
         readers.marked_words(read_lines(spark, top)),
         min_count=min_count,
     )
-    work = tables.work_path(spark, f"{output.rstrip('/')}_work")
+    work = tables.work_path(spark, output)
     try:
         ranking = tables.write_table(ranking, f"{work}/ranking")
         text.write_lines(text.final_lines(ranking, corpus_summary(ranking)), output)

@@ -17,14 +17,15 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def work_path(spark: SparkSession, fallback: str) -> str:
+def work_path(spark: SparkSession, output: str) -> str:
     """A new folder for the tables of one run.
 
-    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``,
-    or in ``fallback`` where that is not set.
+    It lies in the shared folder the cluster names in ``spark.checkpoint.dir``;
+    where that is not set, beside ``output``.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    return f"{base.rstrip('/')}/wordloom-{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    base = f"{shared.rstrip('/')}/" if shared else f"{output.rstrip('/')}_"
+    return f"{base}wordloom-{uuid.uuid4().hex}"
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

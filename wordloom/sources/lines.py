@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LINE_BREAK = r"\r\n|\r|\n"
-
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``line, file`` for every line of every file of a directory.
@@ -21,11 +19,15 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def split_lines(texts: DataFrame, column: str = "text") -> DataFrame:
-    """One row per line of a text column, as ``line``; other columns stay."""
+    """One row per line of a text column, as ``line``; other columns stay.
+
+    Lines end at LF, CR or CRLF. All breaks are made LF first: splitting at one
+    plain character needs no regex.
+    """
     others = [c for c in texts.columns if c != column]
-    return texts.select(
-        *others, F.explode(F.split(column, LINE_BREAK)).alias("line")
-    )
+    lf, cr = F.lit("\n"), F.lit("\r")
+    text = F.replace(F.replace(column, F.lit("\r\n"), lf), cr, lf)
+    return texts.select(*others, F.explode(F.split(text, "\n")).alias("line"))
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
