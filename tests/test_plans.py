@@ -34,7 +34,7 @@ def test_no_python_and_no_cross_join(spark, sf_dir, name):
 def test_the_corpus_is_read_and_shuffled_once(plan_of, name):
     plan = plan_of(name)
     assert plan.count("FileScan") == 1
-    assert len(re.findall(r" Exchange hashpartitioning\(word#", plan)) == 1
+    assert len(re.findall(r"\+- Exchange hashpartitioning\(word#", plan)) == 1
     assert "ReusedExchange" in plan
 
 
