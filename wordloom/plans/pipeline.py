@@ -38,8 +38,9 @@ def run_pipeline(
     one has ``ranking`` and ``summary``). ``layout="text"`` keeps them in a work
     folder during the run and writes ``key<TAB>value`` text.
 
-    The partitions of ``avg_per_partition`` are the raw input files. A failing
-    stage raises and ends the run.
+    The partitions of ``avg_per_partition`` are the raw input files. Each word
+    carries its file as ``part``, a 64-bit hash: a path next to every word would
+    cost more to write than the words. A failing stage raises and ends the run.
     """
     if layout not in ("text", "parquet"):
         raise ValueError(f"unknown layout: {layout}")
@@ -58,10 +59,10 @@ def run_pipeline(
         text.write_lines(lines, paths[stage], compression)
 
     try:
-        lines = spread(read_lines(spark, input_path))
+        lines = spread(read_lines(spark, input_path)).select("line", "part")
         words = table(clean_words(lines, min_length), cleaned)
         counts = table(word_counts(words), counted)
-        stats = table(length_stats(words, "file"), lengths)
+        stats = table(length_stats(words, "part"), lengths)
         letters = table(letters_with_total(letter_counts(counts)), alphabet)
         top = table(top_words(counts, top_n), topped)
         ranking = table(

@@ -39,8 +39,8 @@ def count_words(spark: SparkSession, words: str, output: str) -> None:
 
 def word_length_stats(spark: SparkSession, words: str, output: str) -> None:
     """Word lines to length statistics; the partitions are the input files."""
-    bag = readers.first_words(read_lines(spark, words))
-    text.write_lines(text.length_lines(length_stats(bag, "file")), output)
+    bag = readers.first_words(read_lines(spark, words).select("line", "part"))
+    text.write_lines(text.length_lines(length_stats(bag, "part")), output)
 
 
 def alphabet_distribution(spark: SparkSession, words: str, output: str) -> None:

@@ -7,14 +7,19 @@ from pyspark.sql import functions as F
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``line, file`` for every line of every file of a directory.
+    """``line, file, part`` for every line of every file of a directory.
+
+    ``file`` is the path and ``part`` a 64-bit hash of it.
 
     Lines end at LF, CR or CRLF. Plain files are split between tasks;
     compressed files (.gz and so on) are read directly, one task per file.
     Names starting with "_" or "." and subdirectories are skipped.
     """
+    file = F.col("_metadata.file_path")
     return spark.read.text(path).select(
-        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file")
+        F.col("value").alias("line"),
+        file.alias("file"),
+        F.xxhash64(file).alias("part"),
     )
 
 
