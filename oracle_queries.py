@@ -6,6 +6,7 @@ out here again.
 
 from __future__ import annotations
 
+# The stop words.
 STOP_WORDS = """
 the be to of and a in that have i it for not on with he as you do at this but
 his by from they we say her she or an will my one all would there their what so
@@ -50,6 +51,7 @@ SELECT unnest(regexp_split_to_array(text, {_SPLIT})) AS line FROM (
     UNION ALL SELECT text FROM conversations UNION ALL SELECT text FROM benchmark)
 """
 
+# The cleaning patterns.
 URL = r"'https?://[^\s]+|www\.[^\s]+'"
 EMAIL = r"'[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}'"
 ENTITY = r"'&[a-zA-Z]+;|&#[0-9]+;'"
@@ -210,7 +212,11 @@ SELECT kind, letter,
 FROM ({LETTERS})""",
     "first_letters_sorted": f"""
 SELECT letter, cnt FROM ({LETTERS}) WHERE kind = 'FIRST' ORDER BY cnt DESC, letter""",
+    "first_letters_a_to_e": f"""
+SELECT letter, cnt FROM ({LETTERS})
+WHERE kind = 'FIRST' AND letter BETWEEN 'a' AND 'e' ORDER BY letter""",
     "top_n_words": top(1000),
+    "top_20_words": top(20),
     "top_100_words": top(100),
     "stop_word_filter": f"""
 SELECT word, cnt FROM ({COUNTS}) WHERE lower(word) NOT IN ({_STOP_LIST})""",

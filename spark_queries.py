@@ -179,6 +179,10 @@ def first_letters_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return letters.first_letters(document_letters(spark, sf_dir))
 
 
+def first_letters_a_to_e(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return letters.first_letters_between(document_letters(spark, sf_dir), "a", "e")
+
+
 # --- ranking and analysis ----------------------------------------------------
 
 
@@ -190,6 +194,10 @@ def top_100_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.top_words(document_counts(spark, sf_dir), 100)
 
 
+def top_20_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.top_words(document_counts(spark, sf_dir), 20)
+
+
 def stop_word_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.without_stop_words(document_counts(spark, sf_dir))
 
@@ -311,7 +319,9 @@ QUERIES: dict[str, Query] = {
     "letters_with_total": letters_with_total,
     "letter_percentage": letter_percentage,
     "first_letters_sorted": first_letters_sorted,
+    "first_letters_a_to_e": first_letters_a_to_e,
     "top_n_words": top_n_words,
+    "top_20_words": top_20_words,
     "top_100_words": top_100_words,
     "stop_word_filter": stop_word_filter,
     "word_categories": word_categories,

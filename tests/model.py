@@ -8,6 +8,7 @@ import regex
 
 from wordloom.fixed_values import STOP_WORDS
 
+# Header names and cleaning patterns.
 BLANKS = "".join(map(chr, range(33)))
 DROPPED_STARTS = ("WARC/", "WARC-", "Content-", "Software-", "Extracted-")
 DROPPED_KEYS = ("robots:", "ispartof:", "operator:", "publisher:", "description:")

@@ -13,6 +13,7 @@ from wordloom import __main__ as cli
 from wordloom import fixed_values as fixed
 from wordloom.operators.ranking import top_words
 from wordloom.plans import stages
+from wordloom.session import shuffle_partitions, sized_shuffles
 from wordloom.sinks import tables, text
 from wordloom.sources import manifest
 from wordloom.sources import words as readers
@@ -216,6 +217,12 @@ def test_work_folder_lies_beside_the_output_without_a_shared_folder():
     assert tables.work_path(unset, "/out/").startswith("/out_wordloom-")
 
 
+def test_word_lines_can_be_sorted(spark):
+    words = spark.createDataFrame([("b",), ("a",), ("b",)], "word string").coalesce(1)
+    assert [r["key"] for r in text.word_lines(words, True).collect()] == ["a", "b", "b"]
+    assert {r["value"] for r in text.word_lines(words).collect()} == {""}
+
+
 # --- whole runs ----------------------------------------------------------------
 
 
@@ -279,6 +286,24 @@ def test_parquet_run(spark, four_lines, tmp_path):
     assert spark.read.parquet(f"{final}/summary").first()[:] == (8, 5, 1.6, 5)
 
 
+def test_a_run_replaces_the_other_layout(spark, four_lines, tmp_path):
+    out = tmp_path / "out"
+    for layout in ("text", "parquet", "text"):
+        w.run_pipeline(spark, str(four_lines), str(out), layout=layout)
+        names = {p.suffix for d in fixed.STAGE_DIRS for p in (out / d).rglob("part-*")}
+        assert names == {".txt" if layout == "text" else ".parquet"}
+    check_text_results(out)
+
+
+def test_shuffles_grow_with_the_input(spark):
+    assert shuffle_partitions(10**6, 8) == 8
+    assert 20_000 < shuffle_partitions(100 * 10**12, 200) < 30_000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with sized_shuffles(spark, 100 << 30):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "25"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_the_average_is_per_raw_file(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()

@@ -67,6 +67,16 @@ def first_letters(letters: DataFrame) -> DataFrame:
     )
 
 
+def first_letters_between(letters: DataFrame, low: str, high: str) -> DataFrame:
+    """FIRST rows of the letters from ``low`` to ``high``, by letter."""
+    return (
+        letters.where(F.col("kind") == "FIRST")
+        .where(F.col("letter").between(low, high))
+        .orderBy("letter")
+        .select("letter", "cnt")
+    )
+
+
 def most_frequent_letters(letters: DataFrame) -> DataFrame:
     """The most frequent letter of each kind; the smallest letter on a tie."""
     return letters.groupBy("kind").agg(

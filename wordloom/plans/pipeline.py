@@ -13,6 +13,7 @@ from wordloom.operators.counting import word_counts
 from wordloom.operators.lengths import length_stats
 from wordloom.operators.letters import letter_counts, letters_with_total
 from wordloom.operators.ranking import top_words
+from wordloom.session import sized_shuffles
 from wordloom.sinks import tables, text
 from wordloom.sources.lines import read_lines, spread
 from wordloom.sources.manifest import require_input
@@ -28,6 +29,7 @@ def run_pipeline(
     min_count: int = fixed.MIN_COUNT,
     stop_words: Iterable[str] | DataFrame = fixed.STOP_WORDS,
     compression: str = "none",
+    sorted_words: bool = False,
 ) -> dict[str, str]:
     """Write the six stage directories; returns stage name -> path.
 
@@ -36,7 +38,9 @@ def run_pipeline(
 
     ``layout="parquet"`` leaves these tables as the stage directories (the last
     one has ``ranking`` and ``summary``). ``layout="text"`` keeps them in a work
-    folder during the run and writes ``key<TAB>value`` text.
+    folder during the run and writes ``key<TAB>value`` text, ``compression``
+    being a codec such as gzip. ``sorted_words`` sorts the word occurrences
+    within each part file, as all other text is.
 
     The partitions of ``avg_per_partition`` are the raw input files. Each word
     carries its file as ``part``, a 64-bit hash: a path next to every word would
@@ -44,39 +48,69 @@ def run_pipeline(
     """
     if layout not in ("text", "parquet"):
         raise ValueError(f"unknown layout: {layout}")
-    require_input(spark, input_path)
+    input_bytes = require_input(spark, input_path)
     base = output_path.rstrip("/")
     paths = {stage: f"{base}/{stage}" for stage in fixed.STAGE_DIRS}
-    cleaned, counted, lengths, alphabet, topped, final = fixed.STAGE_DIRS
-
+    for path in paths.values():
+        tables.delete_path(spark, path)
     as_text = layout == "text"
     work = tables.work_path(spark, base) if as_text else base
-
-    def table(df: DataFrame, name: str) -> DataFrame:
-        return tables.write_table(df, f"{work}/{name}")
-
-    def render(lines: DataFrame, stage: str) -> None:
-        text.write_lines(lines, paths[stage], compression)
-
     try:
-        lines = spread(read_lines(spark, input_path)).select("line", "part")
-        words = table(clean_words(lines, min_length), cleaned)
-        counts = table(word_counts(words), counted)
-        stats = table(length_stats(words, "part"), lengths)
-        letters = table(letters_with_total(letter_counts(counts)), alphabet)
-        top = table(top_words(counts, top_n), topped)
-        ranking = table(
-            final_ranking(counts, top, stop_words, min_count), f"{final}/ranking"
-        )
-        summary = table(corpus_summary(ranking), f"{final}/summary")
-        if as_text:
-            render(text.word_lines(words), cleaned)
-            render(text.count_lines(counts), counted)
-            render(text.length_lines(stats), lengths)
-            render(text.letter_lines(letters), alphabet)
-            render(text.top_lines(top), topped)
-            render(text.final_lines(ranking, summary), final)
+        with sized_shuffles(spark, input_bytes):
+            results = _write_tables(
+                spark, input_path, work, top_n, min_length, min_count, stop_words
+            )
+            if as_text:
+                _write_text(results, paths, compression, sorted_words)
     finally:
         if as_text:
             tables.delete_path(spark, work)
     return paths
+
+
+def _write_tables(
+    spark: SparkSession,
+    input_path: str,
+    base: str,
+    top_n: int,
+    min_length: int,
+    min_count: int,
+    stop_words: Iterable[str] | DataFrame,
+) -> dict[str, DataFrame]:
+    cleaned, counted, lengths, alphabet, topped, final = fixed.STAGE_DIRS
+
+    def table(df: DataFrame, name: str) -> DataFrame:
+        return tables.write_table(df, f"{base}/{name}")
+
+    lines = spread(read_lines(spark, input_path)).select("line", "part")
+    words = table(clean_words(lines, min_length), cleaned)
+    counts = table(word_counts(words), counted)
+    stats = table(length_stats(words, "part"), lengths)
+    letters = table(letters_with_total(letter_counts(counts)), alphabet)
+    top = table(top_words(counts, top_n), topped)
+    ranking = table(
+        final_ranking(counts, top, stop_words, min_count), f"{final}/ranking"
+    )
+    summary = table(corpus_summary(ranking), f"{final}/summary")
+    return {
+        "words": words, "counts": counts, "stats": stats, "letters": letters,
+        "top": top, "ranking": ranking, "summary": summary,
+    }
+
+
+def _write_text(
+    results: dict[str, DataFrame],
+    paths: dict[str, str],
+    compression: str,
+    sorted_words: bool,
+) -> None:
+    lines = (
+        text.word_lines(results["words"], sorted_words),
+        text.count_lines(results["counts"]),
+        text.length_lines(results["stats"]),
+        text.letter_lines(results["letters"]),
+        text.top_lines(results["top"]),
+        text.final_lines(results["ranking"], results["summary"]),
+    )
+    for stage, rendered in zip(fixed.STAGE_DIRS, lines):
+        text.write_lines(rendered, paths[stage], compression)

@@ -1,20 +1,51 @@
-"""A session with the settings the engine is tested with."""
+"""Session settings."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
+SPLIT_BYTES = 1 << 30
+INPUT_BYTES_PER_SHUFFLE_PARTITION = 4 << 30
+_SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 def builder(app_name: str = "wordloom") -> SparkSession.Builder:
     """Settings for text corpora; master and memory are left to the caller.
 
     Lower-casing follows the Java runtime instead of the newer ICU tables.
-    Scans take splits of 512 MB: a word is sent once per task, so bigger splits
-    mean less shuffle.
+    Scans take splits of up to 1 GB: a task sends each of its words once, so
+    bigger splits mean less shuffle and fewer shuffle blocks. Small inputs are
+    still split between all cores.
     """
     return (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.icu.caseMappings.enabled", "false")
-        .config("spark.sql.files.maxPartitionBytes", str(512 * 1024 * 1024))
+        .config("spark.sql.files.maxPartitionBytes", str(SPLIT_BYTES))
     )
+
+
+def shuffle_partitions(input_bytes: int, at_least: int) -> int:
+    """Partitions for the word-count shuffle of an input of this size.
+
+    Partial counts are a tenth of the text or less, so 4 GB of text give a
+    partition of some hundred MB: 25,000 partitions for 100 TB. Adaptive
+    execution joins partitions that turn out small; it cannot split an
+    aggregate's partition that is too big.
+    """
+    return max(at_least, -(-input_bytes // INPUT_BYTES_PER_SHUFFLE_PARTITION))
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Raise the number of shuffle partitions to fit the input, then restore it."""
+    before = spark.conf.get(_SHUFFLE_PARTITIONS)
+    wanted = shuffle_partitions(input_bytes, int(before))
+    spark.conf.set(_SHUFFLE_PARTITIONS, str(wanted))
+    try:
+        yield
+    finally:
+        spark.conf.set(_SHUFFLE_PARTITIONS, before)

@@ -16,8 +16,13 @@ def _lines(df: DataFrame, key, value) -> DataFrame:
     return df.select(key.cast("string").alias("key"), value.cast("string").alias("value"))
 
 
-def word_lines(words: DataFrame) -> DataFrame:
-    """Word occurrences; the value is empty, so a line ends with a TAB."""
+def word_lines(words: DataFrame, ordered: bool = False) -> DataFrame:
+    """Word occurrences; the value is empty, so a line ends with a TAB.
+
+    If ``ordered``, sorted by word within each part file.
+    """
+    if ordered:
+        words = words.sortWithinPartitions("word")
     return _lines(words, F.col("word"), F.lit(""))
 
 

@@ -100,7 +100,9 @@ def input_inventory(files: DataFrame) -> DataFrame:
     )
 
 
-def require_input(spark: SparkSession, path: str) -> None:
-    """Fail if a directory has no input files."""
-    if list_files(spark, path).isEmpty():
+def require_input(spark: SparkSession, path: str) -> int:
+    """Size in bytes of the files of a directory; without files, an error."""
+    found = input_inventory(list_files(spark, path)).first()
+    if found["files"] == 0:
         raise ValueError(f"no input files in {path}")
+    return found["bytes"]
