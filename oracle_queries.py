@@ -186,6 +186,7 @@ def per_line(expression: str) -> str:
 
 ORACLE: dict[str, str] = {
     "drop_headers": content(CRAWL_LINES),
+    "trim_lines": per_line(f"trim(line, {_BLANKS})"),
     "strip_urls": per_line(f"regexp_replace(line, {URL}, '', 'g')"),
     "strip_emails": per_line(f"regexp_replace(line, {EMAIL}, '', 'g')"),
     "strip_entities": per_line(f"regexp_replace(line, {ENTITY}, '', 'g')"),

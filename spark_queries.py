@@ -28,8 +28,18 @@ from wordloom.sources import lines, manifest, words
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Declared, so that planning a query reads no file footers.
+SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "pages": "page_id bigint, url string, html string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "benchmark": "item_id bigint, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+    read = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return read.select(*columns)
 
 
 # --- corpora ---------------------------------------------------------------
@@ -303,6 +313,7 @@ def report_most_frequent_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "drop_headers": drop_headers,
+    "trim_lines": _per_line(text.trim_blanks),
     "strip_urls": _per_line(text.strip_urls),
     "strip_emails": _per_line(text.strip_emails),
     "strip_entities": _per_line(text.strip_entities),
