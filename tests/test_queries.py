@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from oracle_queries import ORACLE
+from spark_queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +30,7 @@ def sort_key(row):
     return tuple((v is not None, str(v)) for v in row)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_duckdb(spark, duck, sf_dir, name):
     df = entry.queries()[name](spark, sf_dir)
     result = duck.sql(entry.oracle_sql()[name])
@@ -46,7 +48,9 @@ def test_query_matches_duckdb(spark, duck, sf_dir, name):
 
 
 def test_every_query_is_checked():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"input_inventory"}
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql())
+    assert set(QUERIES) - set(ORACLE) == {"input_inventory"}
 
 
 def test_entry(spark):
