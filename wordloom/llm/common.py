@@ -6,6 +6,8 @@ import functools
 import uuid
 
 import numpy as np
+import pyarrow
+import pyarrow.fs
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -137,3 +139,16 @@ SHINGLE_WORDS = 5
 def shingles(hashes: np.ndarray, n: int = SHINGLE_WORDS) -> np.ndarray:
     """Hashes of all windows of ``n`` words; fewer words make one shingle, none no shingle."""
     return rolling(hashes, min(n, len(hashes))) if len(hashes) else hashes
+
+
+def output_stream(uri: str) -> pyarrow.NativeFile:
+    """A new file in a store that all executors reach, for a task to write."""
+    store, path = pyarrow.fs.FileSystem.from_uri(uri)
+    store.create_dir(path.rpartition("/")[0], recursive=True)
+    return store.open_output_stream(path)
+
+
+def input_file(uri: str) -> pyarrow.NativeFile:
+    """Such a file, open for reads of byte ranges."""
+    store, path = pyarrow.fs.FileSystem.from_uri(uri)
+    return store.open_input_file(path)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wordloom.llm import repetition
+from wordloom.llm import packing, planes, repetition
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,10 +17,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    read = planes.encoded_and_read_back(table(spark, sf_dir, "documents"), tokenizer, 2)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op6_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op9_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer, 1).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens", "sequence_id", "offset",
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op1_plane_files": op1_plane_files,
     "op6_repetition_coverage": op6_repetition_coverage,
+    "op9_curve_packing": op9_curve_packing,
 }
