@@ -1,0 +1,35 @@
+"""Registered queries against DuckDB, where they have SQL."""
+
+import glob
+import os
+
+import duckdb
+import pytest
+
+from wordloom.llm.queries import QUERIES
+from wordloom.llm.sql import ORACLE
+
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN", "array<bigint>": "BIGINT[]"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_matches_duckdb(spark, real_sf, name):
+    con = duckdb.connect()
+    for path in glob.glob(f"{real_sf}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
+    df, result = QUERIES[name](spark, real_sf), con.sql(ORACLE[name])
+    assert {c: TYPES[t] for c, t in df.dtypes} == {
+        c: str(t) for c, t in zip(result.columns, result.types)
+    }
+    columns = sorted(df.columns)
+    order = [result.columns.index(c) for c in columns]
+    found = sorted(str(tuple(r[c] for c in columns)) for r in df.collect())
+    wanted = sorted(str(tuple(r[i] for i in order)) for r in result.fetchall())
+    assert found == wanted and found
+
+
+def test_all_ten_operators_are_registered():
+    assert [int(n[2:].partition("_")[0]) for n in QUERIES] == sorted(
+        int(n[2:].partition("_")[0]) for n in QUERIES
+    )

@@ -145,7 +145,7 @@ def output_stream(uri: str) -> pyarrow.NativeFile:
     """A new file in a store that all executors reach, for a task to write."""
     store, path = pyarrow.fs.FileSystem.from_uri(uri)
     store.create_dir(path.rpartition("/")[0], recursive=True)
-    return store.open_output_stream(path)
+    return store.open_output_stream(path, compression=None)  # not by the name
 
 
 def input_file(uri: str) -> pyarrow.NativeFile:

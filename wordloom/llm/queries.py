@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import packing, planes, repetition
+from wordloom.llm import packing, planes, repetition, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op6_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_and_read_back(table(spark, sf_dir, "pages"))
+
+
 def op9_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer, 1).select(
@@ -38,5 +42,6 @@ def op9_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_plane_files": op1_plane_files,
     "op6_repetition_coverage": op6_repetition_coverage,
+    "op7_warc_index": op7_warc_index,
     "op9_curve_packing": op9_curve_packing,
 }

@@ -2,4 +2,85 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+OP7 = """
+WITH payloads AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), digests AS (
+    SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest
+    FROM payloads
+), holders AS (
+    SELECT payload_digest, max(page_id) AS holder FROM digests
+    WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id < holder THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id < holder THEN holder END AS refers_to
+FROM digests LEFT JOIN holders USING (payload_digest)
+"""
+
+# Lists of words, lines and windows, with lists where the operator uses arrays.
+OP6 = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents
+), split AS (
+    SELECT row_id, doc_id, text, list_filter(
+        string_split_regex(text, '[ \t\n\v\f\r]+'), lambda w: w <> '') AS words
+    FROM texts
+), tokens AS (
+    SELECT row_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM split
+), sizes AS (
+    SELECT n FROM (VALUES (5), (6), (7), (8), (9), (10)) AS v(n)
+), windows AS (
+    SELECT row_id, n, pos, words[pos : pos + n - 1] AS gram
+    FROM (SELECT row_id, words, unnest(range(1, len(words) - 3)) AS pos FROM split), sizes
+    WHERE pos + n - 1 <= len(words)
+), counted AS (
+    SELECT row_id, n, pos, count(*) OVER (PARTITION BY row_id, n, gram) AS times,
+        row_number() OVER (PARTITION BY row_id, n, gram ORDER BY pos) AS turn
+    FROM windows
+), repeated AS (
+    SELECT DISTINCT row_id, unnest(range(pos, pos + 5)) AS pos FROM counted
+    WHERE n = 5 AND times > 1
+), repeat_words AS (
+    SELECT row_id, count(*) AS n_repeat_words FROM repeated GROUP BY row_id
+), covered AS (
+    SELECT DISTINCT row_id, n, unnest(range(pos, pos + n)) AS pos FROM counted WHERE turn > 1
+), covered_chars AS (
+    SELECT row_id, n, sum(length(word))::BIGINT AS chars
+    FROM covered JOIN tokens USING (row_id, pos) GROUP BY row_id, n
+), by_n AS (
+    SELECT row_id, map_from_entries(list((n, chars))) AS chars FROM covered_chars GROUP BY row_id
+), lines AS (
+    SELECT row_id, line, generate_subscripts(list, 1) AS pos FROM (
+        SELECT row_id, string_split(text, chr(10)) AS list,
+            unnest(string_split(text, chr(10))) AS line FROM texts)
+), dup_lines AS (
+    SELECT row_id, count(*) AS n_dup_lines, sum(length(inner_chars))::BIGINT AS dup_line_chars
+    FROM (SELECT row_id, regexp_replace(line, '[ \t\n\v\f\r]+', '', 'g') AS inner_chars,
+            row_number() OVER (PARTITION BY row_id, line) AS turn FROM lines)
+    WHERE turn > 1 AND inner_chars <> '' GROUP BY row_id
+), measured AS (
+    SELECT doc_id, len(words) AS n_words,
+        length(regexp_replace(text, '[ \t\n\v\f\r]+', '', 'g')) AS word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        coalesce(n_dup_lines, 0) AS n_dup_lines,
+        coalesce(n_repeat_words, 0) AS n_repeat_words,
+        coalesce(dup_line_chars, 0) AS dup_line_chars,
+        list_transform([5, 6, 7, 8, 9, 10], lambda n: coalesce(chars[n], 0)) AS dup_ngram_chars
+    FROM split LEFT JOIN dup_lines USING (row_id) LEFT JOIN repeat_words USING (row_id)
+        LEFT JOIN by_n USING (row_id)
+), judged AS (
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured
+)
+SELECT *, NOT (base_failed OR 100 * dup_line_chars > 20 * word_chars
+    OR 100 * dup_ngram_chars[1] > 15 * word_chars OR 100 * dup_ngram_chars[2] > 14 * word_chars
+    OR 100 * dup_ngram_chars[3] > 13 * word_chars OR 100 * dup_ngram_chars[4] > 12 * word_chars
+    OR 100 * dup_ngram_chars[5] > 11 * word_chars OR 100 * dup_ngram_chars[6] > 10 * word_chars
+    ) AS kept
+FROM judged
+"""
+
+ORACLE: dict[str, str] = {
+    "op6_repetition_coverage": OP6,
+    "op7_warc_index": OP7,
+}
