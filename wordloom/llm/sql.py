@@ -51,9 +51,7 @@ WITH texts AS (
 ), by_n AS (
     SELECT row_id, map_from_entries(list((n, chars))) AS chars FROM covered_chars GROUP BY row_id
 ), lines AS (
-    SELECT row_id, line, generate_subscripts(list, 1) AS pos FROM (
-        SELECT row_id, string_split(text, chr(10)) AS list,
-            unnest(string_split(text, chr(10))) AS line FROM texts)
+    SELECT row_id, unnest(string_split(text, chr(10))) AS line FROM texts
 ), dup_lines AS (
     SELECT row_id, count(*) AS n_dup_lines, sum(length(inner_chars))::BIGINT AS dup_line_chars
     FROM (SELECT row_id, regexp_replace(line, '[ \t\n\v\f\r]+', '', 'g') AS inner_chars,
