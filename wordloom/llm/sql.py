@@ -28,12 +28,20 @@ WITH texts AS (
     FROM texts
 ), tokens AS (
     SELECT row_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM split
-), sizes AS (
-    SELECT n FROM (VALUES (5), (6), (7), (8), (9), (10)) AS v(n)
+), five AS (
+    SELECT row_id, pos, word || ' ' || lead(word) OVER w || ' ' || lead(word, 2) OVER w
+        || ' ' || lead(word, 3) OVER w || ' ' || lead(word, 4) OVER w AS gram
+    FROM tokens WINDOW w AS (PARTITION BY row_id ORDER BY pos)
+), again AS (
+    SELECT DISTINCT row_id FROM (SELECT row_id FROM five WHERE gram IS NOT NULL
+        GROUP BY row_id, gram HAVING count(*) > 1)
 ), windows AS (
-    SELECT row_id, n, pos, words[pos : pos + n - 1] AS gram
-    FROM (SELECT row_id, words, unnest(range(1, len(words) - 3)) AS pos FROM split), sizes
-    WHERE pos + n - 1 <= len(words)
+    SELECT row_id, 5 AS n, pos, gram FROM five JOIN again USING (row_id) WHERE gram IS NOT NULL
+    UNION ALL
+    SELECT a.row_id, sizes.n, a.pos, a.gram || '  ' || b.gram
+    FROM five AS a JOIN again USING (row_id) CROSS JOIN (VALUES (6), (7), (8), (9), (10)) AS sizes(n)
+        JOIN five AS b ON b.row_id = a.row_id AND b.pos = a.pos + sizes.n - 5
+    WHERE b.gram IS NOT NULL
 ), counted AS (
     SELECT row_id, n, pos, count(*) OVER (PARTITION BY row_id, n, gram) AS times,
         row_number() OVER (PARTITION BY row_id, n, gram ORDER BY pos) AS turn
