@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow
 import pyarrow.fs
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -152,3 +153,43 @@ def input_file(uri: str) -> pyarrow.NativeFile:
     """Such a file, open for reads of byte ranges."""
     store, path = pyarrow.fs.FileSystem.from_uri(uri)
     return store.open_input_file(path)
+
+
+def pack_numbers(values: np.ndarray) -> bytes:
+    """Unsigned numbers below 2**64, compressed a byte plane at a time."""
+    table = np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8)
+    width = (int(values.max()).bit_length() + 7) // 8 if len(values) else 0
+    planes = np.ascontiguousarray(table[:, :width].T).tobytes()
+    head = len(values).to_bytes(8, "little") + bytes([width])
+    return head + zstandard.ZstdCompressor(level=3).compress(planes)
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    count, width = int.from_bytes(data[:8], "little"), data[8]
+    table = np.zeros((count, 8), np.uint8)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[9:]), np.uint8)
+    table[:, :width] = planes.reshape(width, count).T
+    return table.view("<u8").ravel()
+
+
+def pack_strings(values: list[bytes]) -> bytes:
+    """Byte strings, compressed; their number is bounded by the caller's block."""
+    sizes = pack_numbers(np.fromiter(map(len, values), np.uint64, len(values)))
+    body = zstandard.ZstdCompressor(level=3).compress(b"".join(values))
+    return len(sizes).to_bytes(8, "little") + sizes + body
+
+
+def unpack_strings(data: bytes) -> list[bytes]:
+    at = 8 + int.from_bytes(data[:8], "little")
+    ends = np.cumsum(unpack_numbers(data[8:at])).tolist()
+    body = zstandard.ZstdDecompressor().decompress(data[at:])
+    return [body[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def gathered(flat: np.ndarray, sizes: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists numbered ``chosen`` of those that ``sizes`` cuts ``flat`` into, and their sizes."""
+    starts = np.cumsum(sizes) - sizes
+    wanted = sizes[chosen]
+    before = np.cumsum(wanted) - wanted
+    places = np.repeat(starts[chosen] - before, wanted) + np.arange(int(wanted.sum()))
+    return flat[places], wanted

@@ -19,8 +19,8 @@ CACHE_WORDS = 600_000
 CACHE_WORD_CHARS = 64
 
 # A blank within a run of white space: splitting there would cut the run.
-_INNER_BLANK = re.compile(r"\s (?:\s|\Z)")
-_SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
+INNER_BLANK = re.compile(r"\s (?:\s|\Z)")
+SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
 class Encoder(dict):
@@ -67,8 +67,8 @@ class Encoder(dict):
         """Ids of the whole text, as ``encode(text, add_special_tokens=False)`` gives them."""
         if any(token in text for token in self.special):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        if _INNER_BLANK.search(text):
-            first, *rest = _SAFE_CUT.split(text)
+        if INNER_BLANK.search(text):
+            first, *rest = SAFE_CUT.split(text)
             words = [piece[1:] for piece in rest]
         else:
             first, *words = text.split(" ")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import packing, planes, repetition, warc
+from wordloom.llm import distinct_words, packing, planes, repetition, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,17 @@ def op1_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = distinct_words.encode_and_decode(
+        table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN
+    )
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op6_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.quality_report(table(spark, sf_dir, "documents"))
 
@@ -41,6 +52,7 @@ def op9_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_plane_files": op1_plane_files,
+    "op5_distinct_word_bpe": op5_distinct_word_bpe,
     "op6_repetition_coverage": op6_repetition_coverage,
     "op7_warc_index": op7_warc_index,
     "op9_curve_packing": op9_curve_packing,
