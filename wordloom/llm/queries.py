@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import distinct_words, packing, planes, repetition, warc
+from wordloom.llm import distinct_words, packing, planes, repetition, sketches, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op1_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_scaled_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.compared_with_edits(table(spark, sf_dir, "documents"))
+
+
 def op5_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     coded = distinct_words.encode_and_decode(
@@ -52,6 +56,7 @@ def op9_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_plane_files": op1_plane_files,
+    "op2_scaled_sketches": op2_scaled_sketches,
     "op5_distinct_word_bpe": op5_distinct_word_bpe,
     "op6_repetition_coverage": op6_repetition_coverage,
     "op7_warc_index": op7_warc_index,
