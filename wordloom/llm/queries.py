@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import distinct_words, packing, planes, repetition, sketches, warc
+from wordloom.llm import (
+    distinct_words,
+    language_model,
+    packing,
+    planes,
+    repetition,
+    sketches,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +54,10 @@ def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_and_read_back(table(spark, sf_dir, "pages"))
 
 
+def op8_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scored(table(spark, sf_dir, "documents"))
+
+
 def op9_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer, 1).select(
@@ -60,5 +72,6 @@ QUERIES: dict[str, Query] = {
     "op5_distinct_word_bpe": op5_distinct_word_bpe,
     "op6_repetition_coverage": op6_repetition_coverage,
     "op7_warc_index": op7_warc_index,
+    "op8_backoff_automaton": op8_backoff_automaton,
     "op9_curve_packing": op9_curve_packing,
 }
