@@ -15,6 +15,7 @@ from wordloom.llm import (
     planes,
     repetition,
     sketches,
+    toxicity,
     warc,
 )
 
@@ -66,6 +67,10 @@ def op9_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_plane_files": op1_plane_files,
     "op2_scaled_sketches": op2_scaled_sketches,
@@ -74,4 +79,5 @@ QUERIES: dict[str, Query] = {
     "op7_warc_index": op7_warc_index,
     "op8_backoff_automaton": op8_backoff_automaton,
     "op9_curve_packing": op9_curve_packing,
+    "op10_ftrl_toxicity": op10_ftrl_toxicity,
 }
