@@ -55,8 +55,11 @@ def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "toxic") -> f
     def train(table: pa.Table) -> pa.Table:
         found = ftrl.fit(list(ftrl.unpacked(table.column("features"))),
                          table.column("label").to_numpy(), 1 << FEATURE_BITS)
-        return pa.table({"features": [found.features.tolist()],
-                         "weights": [found.weights.tolist()], "bias": [found.bias]})
+        return pa.table({
+            "features": pa.array([found.features.tolist()], pa.list_(pa.int64())),
+            "weights": pa.array([found.weights.tolist()], pa.list_(pa.float64())),
+            "bias": pa.array([found.bias], pa.float64()),
+        })
 
     # The sample has at most MAX_LABELLED rows of three numbers.
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
