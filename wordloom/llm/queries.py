@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm import (
+    cotraining,
     distinct_words,
     language_model,
     packing,
@@ -36,6 +37,13 @@ def op2_scaled_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.compared_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op4_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return cotraining.with_scores(docs, labels).select(
+        "doc_id", "quality_score", (F.col("quality_score") >= cotraining.KEEP_AT).alias("kept")
+    )
+
+
 def op5_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     coded = distinct_words.encode_and_decode(
@@ -74,6 +82,7 @@ def op10_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_plane_files": op1_plane_files,
     "op2_scaled_sketches": op2_scaled_sketches,
+    "op4_cotraining": op4_cotraining,
     "op5_distinct_word_bpe": op5_distinct_word_bpe,
     "op6_repetition_coverage": op6_repetition_coverage,
     "op7_warc_index": op7_warc_index,
