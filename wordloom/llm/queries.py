@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.llm import (
+    bagminhash,
     cotraining,
     distinct_words,
     language_model,
@@ -37,6 +38,10 @@ def op2_scaled_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.compared_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op3_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return cotraining.with_scores(docs, labels).select(
@@ -82,6 +87,7 @@ def op10_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_plane_files": op1_plane_files,
     "op2_scaled_sketches": op2_scaled_sketches,
+    "op3_bagminhash": op3_bagminhash,
     "op4_cotraining": op4_cotraining,
     "op5_distinct_word_bpe": op5_distinct_word_bpe,
     "op6_repetition_coverage": op6_repetition_coverage,
