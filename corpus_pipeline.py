@@ -2,19 +2,44 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordloom.llm import repetition
+from wordloom.llm import bagminhash, cotraining, packing, repetition
 from wordloom.llm.common import stored
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+END_OF_DOCUMENT = 1
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the repetition rules."""
     return repetition.keep_unrepetitive(docs)
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier finds good.
+
+    It learns from the labelled documents that have come this far.
+    """
+    return cotraining.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return bagminhash.keep_one(docs)
+
+
+def curve_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents in sequences of 2048 tokens, with their ids."""
+    return packing.pack(docs, TOKENIZER, END_OF_DOCUMENT)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("quality_classifier", quality_classifier),
+    ("near_dedup", near_dedup),
+    ("curve_packing", curve_packing),
 ]
 
 # Classifier, signatures and tokenizer have no SQL form.
