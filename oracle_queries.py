@@ -21,6 +21,7 @@ DOCUMENT_LINES = f"""
 SELECT source, unnest(regexp_split_to_array(text, {_SPLIT})) AS line FROM documents
 """
 
+# Names of crawl headers, and words that only look like them.
 CRAWL_LINES = f"""
 SELECT page_id, unnest(regexp_split_to_array(concat_ws(chr(10),
     'WARC/1.0',
@@ -59,7 +60,7 @@ NORMALIZED = r"regexp_replace(lower({}), '[^\p{{L}}\s]+', ' ', 'g')"
 
 
 def content(lines: str) -> str:
-    """The lines that are neither blank nor headers."""
+    """The lines that are neither blank nor headers. The header names."""
     return rf"""
 SELECT * EXCLUDE (t) FROM (SELECT *, trim(line, {_BLANKS}) AS t FROM ({lines}))
 WHERE t <> ''
@@ -162,10 +163,29 @@ SELECT CASE category WHEN 'SHORT' THEN word || chr(9) || cnt
 FROM ({CATEGORIES})
 """
 
-_FIELDS = f"""
+LOOSE_COUNT_LINES = f"""
+SELECT line FROM ({COUNT_LINES}) UNION ALL
+SELECT word || chr(9) || unnest(['5x', '5.0', '+', '9223372036854775808']) AS line
+FROM ({CATEGORIES}) WHERE category = 'SHORT'
+"""
+
+
+def fields(lines: str) -> str:
+    return f"""
 SELECT split_part(t, chr(9), 1) AS word, substr(t, strpos(t, chr(9)) + 1) AS number,
        contains(t, chr(9)) AS has_number
-FROM (SELECT trim(line, {_BLANKS}) AS t FROM ({COUNT_LINES})) WHERE t <> ''
+FROM (SELECT trim(line, {_BLANKS}) AS t FROM ({lines})) WHERE t <> ''
+"""
+
+
+_FIELDS = fields(COUNT_LINES)
+
+STORED_RANKING = f"""
+SELECT c.word, c.cnt, c.length, c.category, t.word IS NOT NULL AS top_n
+FROM (SELECT word, greatest(cnt, length)::BIGINT AS cnt, length, category
+      FROM ({CATEGORIES})) c
+     LEFT JOIN ({top(100)}) t ON c.word = t.word
+WHERE lower(c.word) NOT IN ({_STOP_LIST}) AND (t.word IS NOT NULL OR c.cnt >= 10)
 """
 
 _NAME = "regexp_extract({}, '[^/]+$')"
@@ -225,12 +245,23 @@ SELECT word, cnt FROM ({COUNTS}) WHERE lower(word) NOT IN ({_STOP_LIST})""",
     "final_ranking": RANKING,
     "final_summary": SUMMARY,
     "lenient_counts": rf"""
-SELECT word, number::BIGINT AS cnt FROM ({_FIELDS})
-WHERE has_number AND regexp_full_match(number, '[+-]?[0-9]+')""",
+SELECT word, cnt FROM (
+    SELECT word, number, has_number, try_cast(number AS BIGINT) AS cnt
+    FROM ({fields(LOOSE_COUNT_LINES)}))
+WHERE has_number AND regexp_full_match(number, '[+-]?[0-9]+') AND cnt IS NOT NULL""",
     "strict_counts": f"""
 SELECT word, trim(number, {_BLANKS})::BIGINT AS cnt FROM ({_FIELDS})
 WHERE has_number""",
     "marked_words": f"SELECT word, true AS top_n FROM ({_FIELDS})",
+    "stored_ranking": STORED_RANKING,
+    "word_lines_text": f"""
+SELECT word AS key, '' AS value, count(*) AS n FROM ({bag(DOCUMENT_LINES)}) GROUP BY word""",
+    "count_lines_text": f"SELECT word AS key, cnt::VARCHAR AS value FROM ({COUNTS})",
+    "top_lines_text": f"""
+SELECT word AS key, cnt::VARCHAR AS value FROM ({top(1000)}) ORDER BY rank""",
+    "word_count_csv": f"SELECT word || ',' || cnt AS line FROM ({COUNTS})",
+    "top_words_csv": f"""
+SELECT rank || ',' || word || ',' || cnt AS line FROM ({top(1000)}) ORDER BY rank""",
     "length_stats_text": f"""
 SELECT length::VARCHAR AS key,
        'count=' || cnt || ', avg_per_partition=' || {two_decimals('cnt', 'parts')} AS value

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordloom import fixed_values as fixed
 from wordloom.functions import text
 from wordloom.operators import (
     analysis,
@@ -22,6 +23,7 @@ from wordloom.operators import (
     ranking,
     reports,
 )
+from wordloom.plans import stages
 from wordloom.sinks import text as rendered
 from wordloom.sources import lines, manifest, words
 
@@ -47,13 +49,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 def document_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     texts = table(spark, sf_dir, "documents", *columns, "text")
-    return lines.split_lines(lines.spread(texts))
+    return lines.split_lines(texts)
 
 
 def crawl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``page_id, line``: each page as a crawl record, headers first."""
-    pages = lines.spread(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
     page_id = F.col("page_id").cast("string")
+    # Names of crawl headers, and words that only look like them.
     record = F.concat_ws(
         "\n",
         F.lit("WARC/1.0"),
@@ -85,7 +88,7 @@ def crawl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of every table that holds text."""
     parts = [
-        lines.spread(table(spark, sf_dir, name, column).toDF("text"))
+        table(spark, sf_dir, name, column).toDF("text")
         for name, column in (
             ("documents", "text"),
             ("pages", "html"),
@@ -126,6 +129,27 @@ def count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select(line.alias("line"))
 
 
+def loose_count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines, and for short words also numbers that are none."""
+    counts = analysis.with_categories(document_counts(spark, sf_dir))
+    bad = F.array(*map(F.lit, ("5x", "5.0", "+", "9223372036854775808")))
+    wrong = counts.where(F.col("category") == "SHORT").select(
+        F.explode(F.transform(bad, lambda n: F.concat_ws("\t", "word", n))).alias("line")
+    )
+    return count_lines(spark, sf_dir).unionByName(wrong)
+
+
+def repeated_count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word twice, with its count and with its length; stop words with no number."""
+    counts = analysis.with_categories(document_counts(spark, sf_dir))
+    is_stop = F.lower("word").isin(list(fixed.STOP_WORDS))
+    numbers = F.array(F.col("cnt").cast("string"), F.col("length").cast("string"))
+    number = F.when(is_stop, F.lit("many")).otherwise(F.col("number"))
+    return counts.withColumn("number", F.explode(numbers)).select(
+        F.concat_ws("\t", "word", number).alias("line")
+    )
+
+
 # --- cleaning --------------------------------------------------------------
 
 
@@ -225,7 +249,7 @@ def final_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lenient_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return words.lenient_counts(count_lines(spark, sf_dir))
+    return words.lenient_counts(loose_count_lines(spark, sf_dir))
 
 
 def strict_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,6 +260,34 @@ def marked_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.marked_words(count_lines(spark, sf_dir))
 
 
+def stored_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = ranking.top_words(document_counts(spark, sf_dir), 100)
+    top_lines = rendered.top_lines(top).select(F.concat_ws("\t", "key", "value").alias("line"))
+    return stages.stored_ranking(repeated_count_lines(spark, sf_dir), top_lines)
+
+
+def word_lines_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bag = cleaning.clean_words(document_lines(spark, sf_dir))
+    return rendered.word_lines(bag).groupBy("key", "value").agg(F.count("*").alias("n"))
+
+
+def count_lines_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rendered.count_lines(document_counts(spark, sf_dir))
+
+
+def top_lines_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rendered.top_lines(ranking.top_words(document_counts(spark, sf_dir)))
+
+
+def word_count_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rendered.csv_lines(rendered.word_count_rows(document_counts(spark, sf_dir)))
+
+
+def top_words_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    top = ranking.top_words(document_counts(spark, sf_dir))
+    return rendered.csv_lines(rendered.top_rows(top))
+
+
 def length_stats_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendered.length_lines(length_stats(spark, sf_dir))
 
@@ -284,10 +336,6 @@ def manifest_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.unmatched_files(_files(spark, sf_dir), _manifest(spark, sf_dir))
 
 
-def input_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return manifest.input_inventory(manifest.list_files(spark, sf_dir))
-
-
 # --- reports -----------------------------------------------------------------
 
 
@@ -341,6 +389,12 @@ QUERIES: dict[str, Query] = {
     "lenient_counts": lenient_counts,
     "strict_counts": strict_counts,
     "marked_words": marked_words,
+    "stored_ranking": stored_ranking,
+    "word_lines_text": word_lines_text,
+    "count_lines_text": count_lines_text,
+    "top_lines_text": top_lines_text,
+    "word_count_csv": word_count_csv,
+    "top_words_csv": top_words_csv,
     "length_stats_text": length_stats_text,
     "letters_text": letters_text,
     "final_ranking_text": final_ranking_text,
@@ -348,7 +402,6 @@ QUERIES: dict[str, Query] = {
     "manifest_sample": manifest_sample,
     "manifest_file_ids": manifest_file_ids,
     "manifest_unmatched": manifest_unmatched,
-    "input_inventory": input_inventory,
     "report_top_10": report_top_10,
     "report_length_table": report_length_table,
     "report_top_100_share": report_top_100_share,

@@ -13,12 +13,13 @@ from wordloom import __main__ as cli
 from wordloom import fixed_values as fixed
 from wordloom.operators.ranking import top_words
 from wordloom.plans import stages
-from wordloom.session import shuffle_partitions, sized_shuffles
+from wordloom.session import settings_for, shuffle_partitions
 from wordloom.sinks import tables, text
 from wordloom.sources import manifest
 from wordloom.sources import words as readers
 from wordloom.sources.lines import read_lines, split_lines, spread
 
+# A small text and what is known to come of it.
 FOUR_LINES = "hello world\nhello hadoop\nhadoop mapreduce\nworld data\n"
 
 
@@ -54,11 +55,12 @@ def test_all_plain_and_compressed_files_are_read(spark, tmp_path):
     ]
 
 
-def test_spread_only_splits_up_a_small_input(spark):
+def test_spread_deals_rows_only_when_asked(spark):
     df = spark.range(0, 100, 1, 2)
-    assert spread(df, 8).rdd.getNumPartitions() == 8
-    assert spread(df, 8).count() == 100
-    assert spread(df, 2) is df
+    dealt = spread(df, 8).select("id", F.spark_partition_id().alias("part"))
+    assert dealt.select("part").distinct().count() == 8
+    assert dealt.count() == 100
+    assert spread(df, None) is df
 
 
 def test_first_words(lines_of):
@@ -159,6 +161,11 @@ def test_file_ids_by_base_name(spark):
         ("a.gz", 2, "data-2"), ("b.gz", 1, "data-1"),
     ]
     assert [r["name"] for r in manifest.unmatched_files(files, paths).collect()] == ["c.gz"]
+    nameless = spark.createDataFrame([("/in/",), ("/in/b.gz",), (None,)], "file string")
+    rows = manifest.with_file_ids(nameless, paths).collect()
+    assert sorted((r["file"] or "", r["file_id"]) for r in rows) == [
+        ("", None), ("/in/", None), ("/in/b.gz", 1)]
+    assert manifest.unmatched_files(nameless, paths).count() == 2
 
 
 def test_inventory(spark, tmp_path):
@@ -234,6 +241,7 @@ def four_lines(tmp_path):
     return raw
 
 
+# Names and formats of the written results.
 EXPECTED_FINAL = [
     "data\tcount=1, length=4, category=MEDIUM, topN=true",
     "hadoop\tcount=2, length=6, category=MEDIUM, topN=true",
@@ -251,8 +259,9 @@ def check_text_results(out):
     one, two, three, four, five, six = (content(out / d) for d in fixed.STAGE_DIRS)
     assert sorted(one) == sorted(f"{x}\t" for x in FOUR_LINES.split())
     assert sorted(two) == ["data\t1", "hadoop\t2", "hello\t2", "mapreduce\t1", "world\t2"]
-    assert [line.split(",")[0] for line in three] == [
-        "4\tcount=1", "5\tcount=4", "6\tcount=2", "9\tcount=1",
+    assert three == [
+        "4\tcount=1, avg_per_partition=1.00", "5\tcount=4, avg_per_partition=4.00",
+        "6\tcount=2, avg_per_partition=2.00", "9\tcount=1, avg_per_partition=1.00",
     ]
     assert four[-1] == "TOTAL_CHARS\t53" and four[:-1] == sorted(four[:-1])
     letters = dict(line.split("\t") for line in four[:-1])
@@ -269,7 +278,6 @@ def test_text_run(spark, four_lines, tmp_path):
         paths = w.run_pipeline(spark, str(four_lines), str(out))
     assert list(paths) == list(fixed.STAGE_DIRS)
     check_text_results(out)
-    assert content(out / "stage3_wordlength")[1] == "5\tcount=4, avg_per_partition=4.00"
     assert sorted(p.name for p in out.iterdir()) == sorted(fixed.STAGE_DIRS)
 
 
@@ -295,13 +303,29 @@ def test_a_run_replaces_the_other_layout(spark, four_lines, tmp_path):
     check_text_results(out)
 
 
-def test_shuffles_grow_with_the_input(spark):
+def test_shuffles_grow_with_the_words(spark):
     assert shuffle_partitions(10**6, 8) == 8
-    assert 20_000 < shuffle_partitions(100 * 10**12, 200) < 30_000
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    with sized_shuffles(spark, 100 << 30):
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "25"
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert 20_000 < shuffle_partitions(15 * 10**12, 200) < 30_000
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.icu.caseMappings.enabled")
+    before = [spark.conf.get(key) for key in keys]
+    with settings_for(spark, 15 * 10**9):
+        assert [spark.conf.get(key) for key in keys] == ["25", "false"]
+    assert [spark.conf.get(key) for key in keys] == before
+
+
+def test_compression_of_the_input_does_not_change_the_shuffles(spark, tmp_path, monkeypatch):
+    asked = []
+    monkeypatch.setattr("wordloom.session.shuffle_partitions", lambda words, least: asked.append(words) or least)
+    data = FOUR_LINES.encode() * 50
+    for name, content_of in (("plain.txt", data), ("packed.gz", gzip.compress(data))):
+        raw = tmp_path / name.split(".")[0]
+        raw.mkdir()
+        (raw / name).write_bytes(content_of)
+        w.run_pipeline(spark, str(raw), str(tmp_path / f"out-{name}"))
+        words = tmp_path / f"words-{name}"
+        stages.clean_text(spark, str(raw), str(words))
+        stages.count_words(spark, str(words), str(tmp_path / f"counts-{name}"))
+    assert asked == [400] * 4
 
 
 def test_the_average_is_per_raw_file(spark, tmp_path):
@@ -323,7 +347,7 @@ def test_single_jobs_in_sequence(spark, four_lines, tmp_path):
     one, two, three, four, five, six = (str(out / d) for d in fixed.STAGE_DIRS)
     stages.clean_text(spark, str(four_lines), one)
     stages.count_words(spark, one, two)
-    stages.word_length_stats(spark, one, three)
+    stages.word_length_stats(spark, str(four_lines), three)
     stages.alphabet_distribution(spark, one, four)
     stages.top_n_words(spark, two, five)
     stages.final_analysis(spark, two, five, six)
@@ -331,6 +355,36 @@ def test_single_jobs_in_sequence(spark, four_lines, tmp_path):
     assert sorted(p.name for p in out.iterdir()) == sorted(fixed.STAGE_DIRS)
 
 
+@pytest.mark.parametrize("split", ["64", "1000000"])
+@pytest.mark.parametrize("partitions", [None, 5])
+def test_the_average_does_not_depend_on_splits(spark, tmp_path, split, partitions):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "a.txt").write_text("aa bb cc dd ee ff\n" * 30)
+    (raw / "b.txt").write_text("dd eee\n" * 30)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        w.run_pipeline(spark, str(raw), str(tmp_path / "run"), partitions=partitions)
+        stages.word_length_stats(spark, str(raw), str(tmp_path / "job"), partitions=partitions)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    expected = ["2\tcount=210, avg_per_partition=105.00", "3\tcount=30, avg_per_partition=30.00"]
+    assert content(tmp_path / "run" / "stage3_wordlength") == expected
+    assert content(tmp_path / "job") == expected
+
+
+def test_final_analysis_of_repeated_words_and_bad_stop_words(spark, tmp_path):
+    (tmp_path / "counts").write_text("cat\t12\ncat\t15\nThe\tmany\nthe\t5x\n")
+    (tmp_path / "top").write_text("cat\t15\ncat\t12\n")
+    stages.final_analysis(spark, *(str(tmp_path / d) for d in ("counts", "top", "out")))
+    assert content(tmp_path / "out") == [
+        "cat\tcount=15, length=3, category=SHORT, topN=true",
+        "### SUMMARY_STATISTICS ###\ttotal_word_occurrences=15, unique_words=1, "
+        "avg_frequency=15.00, most_common_length=3",
+    ]
+
+
 def test_final_analysis_fails_on_a_bad_count(spark, tmp_path):
     (tmp_path / "counts").write_text("word\tmany\n")
     (tmp_path / "top").write_text("word\t1\n")

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from spark_queries import QUERIES
 
 SINGLE_TASK_JOINS = ("CartesianProduct", "BroadcastNestedLoopJoin")
 PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups", "MapInArrow")
@@ -21,11 +22,12 @@ def plan_of(spark, sf_dir):
     return lambda name: final_plan(entry.queries()[name](spark, sf_dir))
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_python_and_no_cross_join(spark, sf_dir, name):
-    df = entry.queries()[name](spark, sf_dir)
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_python_no_cross_join_and_no_text_dealt_out(spark, sf_dir, name):
+    df = QUERIES[name](spark, sf_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in SINGLE_TASK_JOINS + PYTHON)
+    assert "RoundRobinPartitioning" not in plan
 
 
 @pytest.mark.parametrize(

@@ -1,0 +1,114 @@
+"""The whole pipeline over all text tables, every stage against DuckDB."""
+
+import csv
+import gzip
+import math
+
+import duckdb
+import pytest
+
+import oracle_queries as oracle
+import wordloom as w
+from wordloom import fixed_values as fixed
+
+TEXTS = {"documents": "text", "pages": "html", "conversations": "text", "benchmark": "text"}
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    con = duckdb.connect()
+    for name in TEXTS:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    lines = " UNION ALL ".join(
+        f"SELECT '{name}' AS source, unnest(regexp_split_to_array({column}, {oracle._SPLIT})) AS line "
+        f"FROM {name}" for name, column in TEXTS.items()
+    )
+    con.execute(f"CREATE TABLE lines AS {lines}")
+    yield con
+    con.close()
+
+
+@pytest.fixture(scope="module")
+def raw(duck, tmp_path_factory):
+    """A raw file per table, one of them compressed."""
+    path = tmp_path_factory.mktemp("raw")
+    for name in TEXTS:
+        lines = duck.sql(f"SELECT line FROM lines WHERE source = '{name}'").fetchall()
+        data = "".join(f"{line}\n" for (line,) in lines).encode()
+        if name == "pages":
+            (path / f"{name}.gz").write_bytes(gzip.compress(data))
+        else:
+            (path / f"{name}.txt").write_bytes(data)
+    return path
+
+
+@pytest.fixture(scope="module")
+def sql():
+    """The oracle's statements with all lines instead of those of the documents."""
+    return lambda name: oracle.ORACLE[name].replace(oracle.DOCUMENT_LINES, "SELECT * FROM lines")
+
+
+def part_files(path):
+    return [p.read_text(encoding="utf8").splitlines() for p in sorted(path.glob("part-*"))]
+
+
+def rendered(duck, statement):
+    return [f"{key}\t{value}" for key, value in duck.sql(statement).fetchall()]
+
+
+def test_text_layout(spark, duck, raw, sql, tmp_path):
+    w.run_pipeline(spark, str(raw), str(tmp_path), sorted_words=True)
+    stage = dict(zip(("words", "counts", "lengths", "letters", "top", "final"),
+                     (part_files(tmp_path / d) for d in fixed.STAGE_DIRS)))
+    flat = {name: [line for part in parts for line in part] for name, parts in stage.items()}
+    words = duck.sql(sql("word_lines_text")).fetchall()
+    assert sorted(flat["words"]) == sorted(f"{k}\t" for k, _, n in words for _ in range(n))
+    assert sorted(flat["counts"]) == sorted(rendered(duck, sql("count_lines_text")))
+    by_length = lambda line: int(line.partition("\t")[0])
+    assert flat["lengths"] == sorted(rendered(duck, sql("length_stats_text")), key=by_length)
+    letters = rendered(duck, sql("letters_text"))
+    total = [line for line in letters if line.startswith("TOTAL_CHARS")]
+    assert flat["letters"] == sorted(set(letters) - set(total), key=str.encode) + total
+    assert flat["top"] == rendered(duck, sql("top_lines_text")) and len(stage["top"]) == 1
+    final = rendered(duck, sql("final_ranking_text"))
+    assert sorted(flat["final"][:-1]) == sorted(final)
+    assert flat["final"][-1:] == rendered(duck, sql("final_summary_text"))
+    for name in ("words", "counts"):
+        for part in stage[name]:
+            keys = [line.partition("\t")[0].encode() for line in part]
+            assert keys == sorted(keys)
+
+
+def test_parquet_layout(spark, duck, raw, sql, tmp_path):
+    paths = w.run_pipeline(spark, str(raw), str(tmp_path), layout="parquet", partitions=7)
+    final = paths["stage6_final"]
+    read = lambda path: spark.read.parquet(path)
+    for name, df in (
+        ("word_count", read(paths["stage2_wordcount"])),
+        ("length_stats", read(paths["stage3_wordlength"])),
+        ("letters_with_total", read(paths["stage4_alphabet"])),
+        ("top_n_words", read(paths["stage5_topn"])),
+        ("final_ranking", read(f"{final}/ranking")),
+        ("final_summary", read(f"{final}/summary")),
+    ):
+        result = duck.sql(sql(name))
+        key = lambda row: tuple(str(v) for v in row if not isinstance(v, float))
+        found = sorted((tuple(r[c] for c in result.columns) for r in df.collect()), key=key)
+        expected = sorted(result.fetchall(), key=key)
+        assert len(found) == len(expected), name
+        for a, b in zip(found, expected):
+            assert all(math.isclose(x, y, rel_tol=1e-12) if isinstance(x, float) else x == y
+                       for x, y in zip(a, b)), name
+    words = read(paths["stage1_cleaned"]).groupBy("word").count().collect()
+    assert {(r["word"], r["count"]) for r in words} == set(
+        duck.sql(f"SELECT key, n FROM ({sql('word_lines_text')})").fetchall())
+
+
+def test_csv_of_the_counts(spark, duck, raw, sql, tmp_path):
+    from wordloom.sinks import text
+
+    paths = w.run_pipeline(spark, str(raw), str(tmp_path / "run"), layout="parquet")
+    text.write_word_count_csv(spark.read.parquet(paths["stage2_wordcount"]), str(tmp_path / "csv"))
+    rows = [tuple(r) for p in (tmp_path / "csv").glob("part-*") for r in csv.reader(open(p))]
+    assert sorted(",".join(r) for r in rows) == sorted(
+        r[0] for r in duck.sql(sql("word_count_csv")).fetchall())

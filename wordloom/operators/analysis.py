@@ -45,6 +45,14 @@ def with_categories(counts: DataFrame) -> DataFrame:
     )
 
 
+def one_row_per_word(counts: DataFrame) -> DataFrame:
+    """``word, cnt``: the largest of a word's counts, for counts that were stored.
+
+    Summed up per task before the shuffle, so a repeated word is no hot key.
+    """
+    return counts.groupBy("word").agg(F.max("cnt").alias("cnt"))
+
+
 def final_ranking(
     counts: DataFrame,
     top: DataFrame,
@@ -54,7 +62,8 @@ def final_ranking(
     """``word, cnt, length, category, top_n``.
 
     Keeps words that are no stop words and are in ``top`` or occur at least
-    ``min_count`` times. ``counts`` has one row per word.
+    ``min_count`` times. ``counts`` has one row per word; ``one_row_per_word``
+    sees to that for counts that were read from elsewhere.
 
     No broadcast is forced: a ``top`` that comes from ``top_words`` has a size
     bound Catalyst knows, and is broadcast because of it; a bigger one is

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,7 +14,7 @@ from wordloom.operators.counting import word_counts
 from wordloom.operators.lengths import length_stats
 from wordloom.operators.letters import letter_counts, letters_with_total
 from wordloom.operators.ranking import top_words
-from wordloom.session import sized_shuffles
+from wordloom.session import settings_for
 from wordloom.sinks import tables, text
 from wordloom.sources.lines import read_lines, spread
 from wordloom.sources.manifest import require_input
@@ -30,17 +31,21 @@ def run_pipeline(
     stop_words: Iterable[str] | DataFrame = fixed.STOP_WORDS,
     compression: str = "none",
     sorted_words: bool = False,
+    partitions: int | None = None,
 ) -> dict[str, str]:
     """Write the six stage directories; returns stage name -> path.
 
     The raw text is read and cleaned once, into a table of word occurrences;
     counts and lengths come from that table, everything else from the counts.
+    Stages that do not need one another are written at the same time.
 
     ``layout="parquet"`` leaves these tables as the stage directories (the last
     one has ``ranking`` and ``summary``). ``layout="text"`` keeps them in a work
     folder during the run and writes ``key<TAB>value`` text, ``compression``
     being a codec such as gzip. ``sorted_words`` sorts the word occurrences
-    within each part file, as all other text is.
+    within each part file, as all other text is. ``partitions`` deals the raw
+    lines over that many tasks first, for inputs of a few files that cannot be
+    split.
 
     The partitions of ``avg_per_partition`` are the raw input files. Each word
     carries its file as ``part``, a 64-bit hash: a path next to every word would
@@ -48,69 +53,60 @@ def run_pipeline(
     """
     if layout not in ("text", "parquet"):
         raise ValueError(f"unknown layout: {layout}")
-    input_bytes = require_input(spark, input_path)
+    require_input(spark, input_path)
     base = output_path.rstrip("/")
     paths = {stage: f"{base}/{stage}" for stage in fixed.STAGE_DIRS}
     for path in paths.values():
         tables.delete_path(spark, path)
     as_text = layout == "text"
     work = tables.work_path(spark, base) if as_text else base
+    cleaned, counted, lengths, alphabet, topped, final = fixed.STAGE_DIRS
+
+    def table(df: DataFrame, name: str) -> DataFrame:
+        return tables.write_table(df, f"{work}/{name}")
+
+    def write(stage: str, lines: DataFrame) -> None:
+        if as_text:
+            text.write_lines(lines, paths[stage], compression)
+
+    def write_lengths() -> None:
+        write(lengths, text.length_lines(table(length_stats(words, "part"), lengths)))
+
+    def write_letters() -> None:
+        letters = table(letters_with_total(letter_counts(counts)), alphabet)
+        write(alphabet, text.letter_lines(letters))
+
+    def write_final() -> None:
+        top = table(top_words(counts, top_n), topped)
+        write(topped, text.top_lines(top))
+        ranked = final_ranking(counts, top, stop_words, min_count)
+        ranking = table(ranked, f"{final}/ranking")
+        summary = table(corpus_summary(ranking), f"{final}/summary")
+        write(final, text.final_lines(ranking, summary))
+
     try:
-        with sized_shuffles(spark, input_bytes):
-            results = _write_tables(
-                spark, input_path, work, top_n, min_length, min_count, stop_words
+        with settings_for(spark):
+            lines = spread(read_lines(spark, input_path).select("line", "part"), partitions)
+            words = table(clean_words(lines, min_length), cleaned)
+        # The number of rows of a table of Parquet files is in their footers.
+        with settings_for(spark, words.count()):
+            counts = table(word_counts(words), counted)
+            _at_once(
+                write_final,
+                write_lengths,
+                write_letters,
+                lambda: write(cleaned, text.word_lines(words, sorted_words)),
+                lambda: write(counted, text.count_lines(counts)),
             )
-            if as_text:
-                _write_text(results, paths, compression, sorted_words)
     finally:
         if as_text:
             tables.delete_path(spark, work)
     return paths
 
 
-def _write_tables(
-    spark: SparkSession,
-    input_path: str,
-    base: str,
-    top_n: int,
-    min_length: int,
-    min_count: int,
-    stop_words: Iterable[str] | DataFrame,
-) -> dict[str, DataFrame]:
-    cleaned, counted, lengths, alphabet, topped, final = fixed.STAGE_DIRS
-
-    def table(df: DataFrame, name: str) -> DataFrame:
-        return tables.write_table(df, f"{base}/{name}")
-
-    lines = spread(read_lines(spark, input_path)).select("line", "part")
-    words = table(clean_words(lines, min_length), cleaned)
-    counts = table(word_counts(words), counted)
-    stats = table(length_stats(words, "part"), lengths)
-    letters = table(letters_with_total(letter_counts(counts)), alphabet)
-    top = table(top_words(counts, top_n), topped)
-    ranking = table(
-        final_ranking(counts, top, stop_words, min_count), f"{final}/ranking"
-    )
-    summary = table(corpus_summary(ranking), f"{final}/summary")
-    return {
-        "words": words, "counts": counts, "stats": stats, "letters": letters,
-        "top": top, "ranking": ranking, "summary": summary,
-    }
-
-
-def _write_text(
-    results: dict[str, DataFrame],
-    paths: dict[str, str],
-    compression: str,
-    sorted_words: bool,
-) -> None:
-    lines = (
-        text.word_lines(results["words"], sorted_words),
-        text.count_lines(results["counts"]),
-        text.length_lines(results["stats"]),
-        text.letter_lines(results["letters"]),
-        text.top_lines(results["top"]),
-        text.final_lines(results["ranking"], results["summary"]),
-    )
-    for stage, rendered in zip(fixed.STAGE_DIRS, lines):
-        text.write_lines(rendered, paths[stage], compression)
+def _at_once(*jobs: Callable[[], None]) -> None:
+    """Run the jobs in threads of the driver; all have ended when the first error is raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = [pool.submit(job) for job in jobs]
+    for job in started:
+        job.result()

@@ -6,15 +6,16 @@ the same format. ``run_pipeline`` runs all six over tables instead.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from wordloom import fixed_values as fixed
-from wordloom.operators.analysis import corpus_summary, final_ranking
+from wordloom.operators.analysis import corpus_summary, final_ranking, one_row_per_word
 from wordloom.operators.cleaning import clean_words
 from wordloom.operators.counting import word_counts
 from wordloom.operators.lengths import length_stats
 from wordloom.operators.letters import letter_counts, letters_with_total
 from wordloom.operators.ranking import top_words
+from wordloom.session import settings_for
 from wordloom.sinks import tables, text
 from wordloom.sources import words as readers
 from wordloom.sources.lines import read_lines, spread
@@ -25,29 +26,55 @@ def clean_text(
     raw: str,
     output: str,
     min_length: int = fixed.MIN_WORD_LENGTH,
+    partitions: int | None = None,
 ) -> None:
-    """Raw lines to one ``word<TAB>`` line per occurrence."""
-    lines = spread(read_lines(spark, raw)).select("line")
-    text.write_lines(text.word_lines(clean_words(lines, min_length)), output)
+    """Raw lines to one ``word<TAB>`` line per occurrence.
+
+    ``partitions`` deals the raw lines over that many tasks first.
+    """
+    with settings_for(spark):
+        lines = spread(read_lines(spark, raw).select("line"), partitions)
+        text.write_lines(text.word_lines(clean_words(lines, min_length)), output)
+
+
+def _stored_words(spark: SparkSession, words: str) -> tuple[DataFrame, int]:
+    """Words of a stage-1 directory and the number of its lines."""
+    lines = read_lines(spark, words).select("line")
+    return readers.first_words(lines), lines.count()
 
 
 def count_words(spark: SparkSession, words: str, output: str) -> None:
     """Word lines to ``word<TAB>count``."""
-    bag = readers.first_words(read_lines(spark, words).select("line"))
-    text.write_lines(text.count_lines(word_counts(bag)), output)
+    bag, occurrences = _stored_words(spark, words)
+    with settings_for(spark, occurrences):
+        text.write_lines(text.count_lines(word_counts(bag)), output)
 
 
-def word_length_stats(spark: SparkSession, words: str, output: str) -> None:
-    """Word lines to length statistics; the partitions are the input files."""
-    bag = readers.first_words(read_lines(spark, words).select("line", "part"))
-    text.write_lines(text.length_lines(length_stats(bag, "part")), output)
+def word_length_stats(
+    spark: SparkSession,
+    raw: str,
+    output: str,
+    min_length: int = fixed.MIN_WORD_LENGTH,
+    partitions: int | None = None,
+) -> None:
+    """Raw lines to length statistics; the partitions are the raw files.
+
+    From the raw lines, because word lines no longer tell which file a word is
+    from: how they lie in part files depends on how the work was split. The
+    shuffle has a row per file and length.
+    """
+    with settings_for(spark):
+        lines = spread(read_lines(spark, raw).select("line", "part"), partitions)
+        stats = length_stats(clean_words(lines, min_length), "part")
+        text.write_lines(text.length_lines(stats), output)
 
 
 def alphabet_distribution(spark: SparkSession, words: str, output: str) -> None:
     """Word lines to letter counts and their total."""
-    bag = readers.first_words(read_lines(spark, words).select("line"))
-    letters = letter_counts(word_counts(bag))
-    text.write_lines(text.letter_lines(letters_with_total(letters)), output)
+    bag, occurrences = _stored_words(spark, words)
+    with settings_for(spark, occurrences):
+        letters = letter_counts(word_counts(bag))
+        text.write_lines(text.letter_lines(letters_with_total(letters)), output)
 
 
 def top_n_words(
@@ -58,6 +85,20 @@ def top_n_words(
     text.write_lines(text.top_lines(top_words(counted, n)), output)
 
 
+def stored_ranking(
+    count_lines: DataFrame, top_lines: DataFrame, min_count: int = fixed.MIN_COUNT
+) -> DataFrame:
+    """The final ranking from stored counts and a stored top list, both as lines.
+
+    Stop words are skipped before their number is looked at; any other count that
+    is no whole number fails. Of several counts of a word the largest holds.
+    """
+    counts = readers.strict_counts(count_lines, skip=fixed.STOP_WORDS)
+    return final_ranking(
+        one_row_per_word(counts), readers.marked_words(top_lines), min_count=min_count
+    )
+
+
 def final_analysis(
     spark: SparkSession,
     counts: str,
@@ -65,18 +106,16 @@ def final_analysis(
     output: str,
     min_count: int = fixed.MIN_COUNT,
 ) -> None:
-    """Word counts and top words to final rows and a summary.
-
-    A count that is not a whole number fails the job.
-    """
-    ranking = final_ranking(
-        readers.strict_counts(read_lines(spark, counts)),
-        readers.marked_words(read_lines(spark, top)),
-        min_count=min_count,
-    )
+    """Word counts and top words to final rows and a summary; see ``stored_ranking``."""
+    count_lines = read_lines(spark, counts).select("line")
     work = tables.work_path(spark, output)
     try:
-        ranking = tables.write_table(ranking, f"{work}/ranking")
-        text.write_lines(text.final_lines(ranking, corpus_summary(ranking)), output)
+        # Each line has one of the words that the counts are shuffled by.
+        with settings_for(spark, count_lines.count()):
+            ranking = stored_ranking(
+                count_lines, read_lines(spark, top).select("line"), min_count
+            )
+            ranking = tables.write_table(ranking, f"{work}/ranking")
+            text.write_lines(text.final_lines(ranking, corpus_summary(ranking)), output)
     finally:
         tables.delete_path(spark, work)

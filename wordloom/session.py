@@ -8,8 +8,9 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 SPLIT_BYTES = 1 << 30
-INPUT_BYTES_PER_SHUFFLE_PARTITION = 4 << 30
+WORDS_PER_SHUFFLE_PARTITION = 600_000_000
 _SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+_CASE_MAPPINGS = "spark.sql.icu.caseMappings.enabled"
 
 
 def builder(app_name: str = "wordloom") -> SparkSession.Builder:
@@ -23,29 +24,38 @@ def builder(app_name: str = "wordloom") -> SparkSession.Builder:
     return (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.icu.caseMappings.enabled", "false")
+        .config(_CASE_MAPPINGS, "false")
         .config("spark.sql.files.maxPartitionBytes", str(SPLIT_BYTES))
     )
 
 
-def shuffle_partitions(input_bytes: int, at_least: int) -> int:
-    """Partitions for the word-count shuffle of an input of this size.
+def shuffle_partitions(words: int, at_least: int) -> int:
+    """Partitions for the word-count shuffle of this many word occurrences.
 
-    Partial counts are a tenth of the text or less, so 4 GB of text give a
-    partition of some hundred MB: 25,000 partitions for 100 TB. Adaptive
-    execution joins partitions that turn out small; it cannot split an
+    Counted in words, so that compression of the input plays no part. Partial
+    counts are a tenth of the text or less, so 600 million words (some 4 GB of
+    text) give a partition of some hundred MB: 25,000 partitions for 100 TB.
+    Adaptive execution joins partitions that turn out small; it cannot split an
     aggregate's partition that is too big.
     """
-    return max(at_least, -(-input_bytes // INPUT_BYTES_PER_SHUFFLE_PARTITION))
+    return max(at_least, -(-words // WORDS_PER_SHUFFLE_PARTITION))
 
 
 @contextmanager
-def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
-    """Raise the number of shuffle partitions to fit the input, then restore it."""
-    before = spark.conf.get(_SHUFFLE_PARTITIONS)
-    wanted = shuffle_partitions(input_bytes, int(before))
-    spark.conf.set(_SHUFFLE_PARTITIONS, str(wanted))
+def settings_for(spark: SparkSession, words: int | None = None) -> Iterator[None]:
+    """Java's lower-casing and, if ``words`` is given, shuffles that fit, for one run.
+
+    The settings are the session's; they are put back at the end.
+    """
+    wanted = {_CASE_MAPPINGS: "false"}
+    if words is not None:
+        now = int(spark.conf.get(_SHUFFLE_PARTITIONS))
+        wanted[_SHUFFLE_PARTITIONS] = str(shuffle_partitions(words, now))
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(_SHUFFLE_PARTITIONS, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)

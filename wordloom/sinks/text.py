@@ -85,15 +85,27 @@ def write_lines(lines: DataFrame, path: str, compression: str = "none") -> None:
     joined.write.mode("overwrite").option("compression", compression).text(path)
 
 
+def word_count_rows(counts: DataFrame) -> DataFrame:
+    """``word, count``, sorted by word within each part file."""
+    return counts.sortWithinPartitions("word").select("word", F.col("cnt").alias("count"))
+
+
+def top_rows(top: DataFrame) -> DataFrame:
+    """``rank, word, count`` in rank order, in one part file."""
+    rows = top.coalesce(1).sortWithinPartitions("rank")
+    return rows.select("rank", "word", F.col("cnt").alias("count"))
+
+
+def csv_lines(rows: DataFrame) -> DataFrame:
+    """``line``: each row as the CSV writer writes it."""
+    return rows.select(F.to_csv(F.struct(*rows.columns)).alias("line"))
+
+
 def write_word_count_csv(counts: DataFrame, path: str, header: bool = False) -> None:
     """``word,count`` rows."""
-    rows = counts.sortWithinPartitions("word").select("word", F.col("cnt").alias("count"))
-    rows.write.mode("overwrite").option("header", header).csv(path)
+    word_count_rows(counts).write.mode("overwrite").option("header", header).csv(path)
 
 
 def write_top_csv(top: DataFrame, path: str, header: bool = False) -> None:
     """``rank,word,count`` rows in one file, in rank order."""
-    rows = top.coalesce(1).sortWithinPartitions("rank")
-    rows.select("rank", "word", F.col("cnt").alias("count")).write.mode(
-        "overwrite"
-    ).option("header", header).csv(path)
+    top_rows(top).write.mode("overwrite").option("header", header).csv(path)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``line, file, part`` for every line of every file of a directory.
 
-    ``file`` is the path and ``part`` a 64-bit hash of it.
+    ``file`` is the path and ``part`` a 64-bit hash of it: two of a million files
+    share a hash with a probability of some 3e-8, and would count as one.
 
     Lines end at LF, CR or CRLF. Plain files are split between tasks;
     compressed files (.gz and so on) are read directly, one task per file.
@@ -35,12 +36,11 @@ def split_lines(texts: DataFrame, column: str = "text") -> DataFrame:
     return texts.select(*others, F.explode(F.split(text, "\n")).alias("line"))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Rebalance an input that has fewer splits than the cluster has cores.
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal the rows over ``partitions`` tasks; None leaves them where they are.
 
-    For a few files that cannot be split (gzip, or Parquet with one row group),
-    which would leave cores idle. An input with enough splits is returned as it
-    is: at scale there is no shuffle here.
+    A shuffle of the raw text, for the caller to ask for: it pays off for a few
+    files that cannot be split (gzip, or Parquet with one row group), which would
+    leave most cores idle.
     """
-    wanted = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    return df if partitions is None else df.repartition(partitions)

@@ -61,14 +61,30 @@ def _ids_by_name(manifest: DataFrame) -> DataFrame:
     )
 
 
+def _by_name(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``files`` with ``name``: rows that have one, and rows whose path ends in a slash.
+
+    The latter match nothing. They share a key, however many there are, so they
+    stay out of the join.
+    """
+    named = files.select("*", text.base_name("file").alias("name")).select(
+        "name", *files.columns
+    )
+    return named.where(F.col("name") != ""), named.where(
+        F.coalesce(F.col("name"), F.lit("")) == ""
+    )
+
+
 def with_file_ids(files: DataFrame, manifest: DataFrame) -> DataFrame:
     """Adds ``name`` (base name), ``file_id`` and ``data_name`` to ``files``.
 
     ``files`` has a column ``file`` (a path). If the manifest has a base name
     twice, its last index counts. Both new columns are null without a match.
     """
-    named = files.withColumn("name", text.base_name("file"))
-    return named.join(_ids_by_name(manifest), "name", "left").withColumn(
+    named, unnamed = _by_name(files)
+    found = named.join(_ids_by_name(manifest), "name", "left")
+    nameless = unnamed.withColumn("file_id", F.lit(None).cast("bigint"))
+    return found.unionByName(nameless).withColumn(
         "data_name",
         F.concat(F.lit(fixed.DATA_FILE_PREFIX), F.col("file_id").cast("string")),
     )
@@ -76,8 +92,8 @@ def with_file_ids(files: DataFrame, manifest: DataFrame) -> DataFrame:
 
 def unmatched_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
     """The rows of ``files`` whose base name is not in the manifest."""
-    named = files.withColumn("name", text.base_name("file"))
-    return named.join(_ids_by_name(manifest), "name", "left_anti")
+    named, unnamed = _by_name(files)
+    return named.join(_ids_by_name(manifest), "name", "left_anti").unionByName(unnamed)
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,8 @@ same parsing serves files and tables.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,12 +59,16 @@ def lenient_counts(lines: DataFrame, bits: int = 64) -> DataFrame:
     )
 
 
-def strict_counts(lines: DataFrame, bits: int = 64) -> DataFrame:
+def strict_counts(
+    lines: DataFrame, bits: int = 64, skip: Iterable[str] = ()
+) -> DataFrame:
     """``word, cnt``; the number is trimmed, and one that is none fails the job.
 
-    Lines without a TAB are skipped. The failure does not depend on the ANSI
-    setting of the session.
+    Lines without a TAB are skipped, and so are the words in ``skip``, compared
+    in lower case, whatever their number. The failure does not depend on the
+    ANSI setting of the session.
     """
+    skipped = F.lower(F.col("fields")[0]).isin([w.lower() for w in skip])
     number = text.trim_blanks(F.col("fields")[1])
     parsed = F.when(
         number.rlike(_WHOLE_NUMBER), number.try_cast(_count_type(bits))
@@ -71,8 +77,12 @@ def strict_counts(lines: DataFrame, bits: int = 64) -> DataFrame:
         parsed.cast("bigint"),
         F.raise_error(F.concat(F.lit("not a count: "), number)).cast("bigint"),
     )
+    # The test is also part of the value: filters may be reordered, a CASE is not.
+    guarded = F.when(~skipped, cnt)
     return (
-        _fields(lines).where(F.size("fields") >= 2).select(_word(), cnt.alias("cnt"))
+        _fields(lines)
+        .where((F.size("fields") >= 2) & ~skipped)
+        .select(_word(), guarded.alias("cnt"))
     )
 
 
