@@ -332,19 +332,18 @@ def keep_one(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "
     That of the smallest id; a row without an id only where no other has one. Of
     rows that agree in id and text any one stays.
     """
-    classed = _classed(_plain(docs, id_column, text_column))
+    classed = stored(_classed(_plain(docs, id_column, text_column)), "classes")
     one = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("one")
     chosen = classed.groupBy("class").agg(one).select(
         F.col("one.doc_id").alias("__id"), F.col("one.digest").alias("__digest")
     )
     # How often the chosen rows occur; only those that repeat are looked at again.
     times = classed.groupBy("doc_id", "digest").agg(F.count("*").alias("__times"))
-    chosen = chosen.join(
+    chosen = stored(chosen.join(
         times, chosen["__id"].eqNullSafe(times["doc_id"]) & (chosen["__digest"] == times["digest"])
-    ).select("__id", "__digest", "__times")
+    ).select("__id", "__digest", "__times"), "chosen")
     digest = F.md5(F.coalesce(docs[text_column].cast("string"), F.lit("")).cast("binary"))
     same = docs[id_column].cast("bigint").eqNullSafe(F.col("__id")) & (digest == F.col("__digest"))
-    found = stored(docs.join(chosen, same), "one-of-each")
-    once, often = found.where("__times = 1"), found.where("__times > 1")
-    rest = often.dropDuplicates(["__id", "__digest"])
-    return once.unionByName(rest).drop("__id", "__digest", "__times")
+    once = docs.join(chosen.where("__times = 1"), same)
+    often = docs.join(chosen.where("__times > 1"), same).dropDuplicates(["__id", "__digest"])
+    return once.unionByName(often).drop("__id", "__digest", "__times")
