@@ -140,6 +140,13 @@ def keep_unrepetitive(docs: DataFrame, text_column: str = "text") -> DataFrame:
 def quality_report(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """``doc_id`` and every measure, a row for each row of ``docs``."""
+    """``doc_id`` and every measure, a row for each row of ``docs``.
+
+    ``dup_ngram_chars`` is spread over columns ``dup_5gram_chars`` and so on.
+    """
     rows = docs.select(docs[id_column].alias("doc_id"), docs[text_column].alias("text"))
-    return with_measures(rows).select("doc_id", "rules.*")
+    by_n = [
+        F.col("dup_ngram_chars")[k].alias(f"dup_{n}gram_chars")
+        for k, n in enumerate(sorted(MAX_NGRAM_PERCENT))
+    ]
+    return with_measures(rows).select("doc_id", "rules.*").select("*", *by_n).drop("dup_ngram_chars")

@@ -78,7 +78,11 @@ WITH texts AS (
 ), judged AS (
     SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured
 )
-SELECT *, NOT (base_failed OR 100 * dup_line_chars > 20 * word_chars
+SELECT * EXCLUDE (dup_ngram_chars),
+    dup_ngram_chars[1] AS dup_5gram_chars, dup_ngram_chars[2] AS dup_6gram_chars,
+    dup_ngram_chars[3] AS dup_7gram_chars, dup_ngram_chars[4] AS dup_8gram_chars,
+    dup_ngram_chars[5] AS dup_9gram_chars, dup_ngram_chars[6] AS dup_10gram_chars,
+    NOT (base_failed OR 100 * dup_line_chars > 20 * word_chars
     OR 100 * dup_ngram_chars[1] > 15 * word_chars OR 100 * dup_ngram_chars[2] > 14 * word_chars
     OR 100 * dup_ngram_chars[3] > 13 * word_chars OR 100 * dup_ngram_chars[4] > 12 * word_chars
     OR 100 * dup_ngram_chars[5] > 11 * word_chars OR 100 * dup_ngram_chars[6] > 10 * word_chars
