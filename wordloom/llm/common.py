@@ -155,13 +155,13 @@ def input_file(uri: str) -> pyarrow.NativeFile:
     return store.open_input_file(path)
 
 
-def pack_numbers(values: np.ndarray) -> bytes:
+def pack_numbers(values: np.ndarray, level: int = 3) -> bytes:
     """Unsigned numbers below 2**64, compressed a byte plane at a time."""
     table = np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8)
     width = (int(values.max()).bit_length() + 7) // 8 if len(values) else 0
     planes = np.ascontiguousarray(table[:, :width].T).tobytes()
     head = len(values).to_bytes(8, "little") + bytes([width])
-    return head + zstandard.ZstdCompressor(level=3).compress(planes)
+    return head + zstandard.ZstdCompressor(level=level).compress(planes)
 
 
 def unpack_numbers(data: bytes) -> np.ndarray:
@@ -172,10 +172,10 @@ def unpack_numbers(data: bytes) -> np.ndarray:
     return table.view("<u8").ravel()
 
 
-def pack_strings(values: list[bytes]) -> bytes:
+def pack_strings(values: list[bytes], level: int = 3) -> bytes:
     """Byte strings, compressed; their number is bounded by the caller's block."""
     sizes = pack_numbers(np.fromiter(map(len, values), np.uint64, len(values)))
-    body = zstandard.ZstdCompressor(level=3).compress(b"".join(values))
+    body = zstandard.ZstdCompressor(level=level).compress(b"".join(values))
     return len(sizes).to_bytes(8, "little") + sizes + body
 
 

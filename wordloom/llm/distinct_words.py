@@ -39,6 +39,7 @@ from wordloom.llm.common import (
 from wordloom.llm.encoder import INNER_BLANK, SAFE_CUT
 
 BLOCK_CHARS = 16 << 20
+LEVEL = 9
 _OF_DOCUMENTS = -1  # the shard number of a block's own row
 
 BLOCKS = "block bigint, shard int, doc_ids array<bigint>, n_words array<bigint>, data binary"
@@ -83,19 +84,25 @@ def block_rows(batches: Iterator[pa.RecordBatch], pattern: str, shards: int) ->
     block, chars, words, docs = TaskContext.get().partitionId() << 32, 0, Words(pattern), []
 
     def rows() -> Iterator[tuple]:
-        texts = [word.encode() for word in words.codes]
-        shard_of = np.fromiter((xxhash.xxh3_64_intdigest(w) % shards for w in texts),
-                               np.int64, len(texts))
-        order = np.argsort(shard_of, kind="stable")  # codes by shard, then first position
+        codes = np.frombuffer(b"".join(c for _, c in docs), "<u4")
+        # Frequent words get small numbers, which compress best.
+        counts = np.bincount(codes, minlength=len(words.codes))
+        order = np.argsort(-counts, kind="stable")
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
-        codes = np.frombuffer(b"".join(c for _, c in docs), "<u4")
+        known = list(words.codes)
+        texts = [known[k].encode() for k in order.tolist()]
+        shard_of = np.fromiter((xxhash.xxh3_64_intdigest(w) % shards for w in texts),
+                               np.int64, len(texts))
+        shard_data = pack_numbers(shard_of, LEVEL)
         yield (block, _OF_DOCUMENTS, [i for i, _ in docs], [len(c) // 4 for _, c in docs],
-               pack_numbers(rank[codes]))
-        cuts = np.searchsorted(shard_of[order], np.arange(shards + 1))
+               len(shard_data).to_bytes(8, "little") + shard_data
+               + pack_numbers(rank[codes], LEVEL))
+        by_shard = np.argsort(shard_of, kind="stable")
+        cuts = np.searchsorted(shard_of[by_shard], np.arange(shards + 1))
         for shard in np.flatnonzero(np.diff(cuts)).tolist():
-            inside = order[cuts[shard] : cuts[shard + 1]].tolist()
-            yield block, shard, None, None, pack_strings([texts[k] for k in inside])
+            inside = by_shard[cuts[shard] : cuts[shard + 1]].tolist()
+            yield block, shard, None, None, pack_strings([texts[k] for k in inside], LEVEL)
 
     for batch in batches:
         for doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text")),
@@ -173,7 +180,12 @@ def reassembled(blocks: pa.Table, replies: pa.Table, path: str) -> Iterator[tupl
     word_sizes, word_ids = np.concatenate(sizes), np.concatenate(flat)
     table, token_sizes = token_bytes(path)
     for row in blocks.to_pylist():
-        codes, at = unpack_numbers(row["data"]).astype(np.int64), 0
+        at = 8 + int.from_bytes(row["data"][:8], "little")
+        # Answers come by shard; within a shard in the order of the words' numbers.
+        by_shard = np.argsort(unpack_numbers(row["data"][8:at]), kind="stable")
+        place = np.empty(len(by_shard), np.int64)
+        place[by_shard] = np.arange(len(by_shard))
+        codes, at = place[unpack_numbers(row["data"][at:]).astype(np.int64)], 0
         for doc_id, n_words in zip(row["doc_ids"], row["n_words"], strict=True):
             ids, _ = gathered(word_ids, word_sizes, codes[at : at + n_words])
             decoded, _ = gathered(table, token_sizes, ids)  # the join with the token-byte table
