@@ -36,7 +36,7 @@ def test_pieces_make_the_text(library):
             words = distinct_words.Words(public_tokenizers.PATTERN)
 
 
-@pytest.mark.parametrize("chars", [50, 16 << 20])
+@pytest.mark.parametrize("chars", [50, 32 << 20])
 def test_all_documents(awkward, real, library, monkeypatch, chars):
     monkeypatch.setattr(distinct_words, "BLOCK_CHARS", chars)
     for docs in (awkward, real.limit(60)) if chars == 50 else (awkward, real):

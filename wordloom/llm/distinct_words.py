@@ -38,7 +38,7 @@ from wordloom.llm.common import (
 )
 from wordloom.llm.encoder import INNER_BLANK, SAFE_CUT
 
-BLOCK_CHARS = 16 << 20
+BLOCK_CHARS = 32 << 20
 LEVEL = 9
 _OF_DOCUMENTS = -1  # the shard number of a block's own row
 
@@ -162,8 +162,8 @@ def answers(packs: pa.Table, path: str, pattern: str) -> list[tuple]:
             if ids is None:
                 ids = ids_of[word] = encode(word.decode())
             found.append(ids)
-        sizes = pack_numbers(np.fromiter(map(len, found), np.uint64, len(found)))
-        flat = pack_numbers(np.array([i for ids in found for i in ids], np.uint64))
+        sizes = pack_numbers(np.fromiter(map(len, found), np.uint64, len(found)), LEVEL)
+        flat = pack_numbers(np.array([i for ids in found for i in ids], np.uint64), LEVEL)
         rows.append((block, shard, len(sizes).to_bytes(8, "little") + sizes + flat))
     return rows
 
