@@ -133,7 +133,7 @@ def with_measures(docs: DataFrame, text_column: str = "text", name: str = "rules
 
 def keep_unrepetitive(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text passes all rules; columns as before."""
-    judged = with_measures(docs.select(docs["*"]), text_column, "__rules")
+    judged = with_measures(docs, text_column, "__rules")
     return judged.where("__rules.kept").drop("__rules")
 
 
