@@ -52,6 +52,14 @@ def test_signatures_estimate_weighted_jaccard():
         assert bagminhash.similarity(*sets) == pytest.approx(true)
 
 
+def test_texts_followed_together_or_alone(monkeypatch):
+    texts = [t or "" for t in copies(random.Random(1))] + ["a b c d e f g " * 3000]
+    together = bagminhash.band_keys(texts)
+    monkeypatch.setattr(bagminhash, "TOGETHER", 1)
+    assert bagminhash.band_keys(texts) == together
+    assert [len(k) for k in together] == [bagminhash.BANDS if t.split() else 0 for t in texts]
+
+
 def copies(rng):
     """Texts with groups of near copies, chains, shared passages and repeats within."""
     word = lambda: f"w{rng.randrange(4000)}"

@@ -39,6 +39,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 32, 6
 SIZE = BANDS * ROWS
 BLOCK_TEXTS = 256
+TOGETHER = 1 << 17  # shingles followed together, a matter of speed and memory alone
 _NEXT = np.uint64(0xD1342543DE82EF95)  # steps of the counters. Any odd numbers do.
 _COPY = np.uint64(0xAF251AF3B0F025B5)
 
@@ -66,52 +67,82 @@ def _uniform(state: np.ndarray) -> np.ndarray:
     return ((mixed(state) >> np.uint64(11)).astype(np.float64) + 1) / (1 << 53)
 
 
-def signature(shingled: np.ndarray, size: int = SIZE) -> np.ndarray:
-    """The hashed earliest point of each component, uint64; a bag must not be empty."""
-    values, counts = np.unique(shingled, return_counts=True)
-    counts = counts.astype(np.int64)
-    # Intervals 0: [0, 1), k: [2**(k - 1), 2**k), as far as a weight reaches.
-    top = int(counts.max())
-    seeds, lows, widths, weights = [], [], [], []
-    low, width, level = 0, 1, 0
-    while low < top:
-        inside = counts > low
-        seeds.append(mixed(values[inside] ^ mixed(np.full(1, level, np.uint64))))
-        lows.append(np.full(int(inside.sum()), low))
-        widths.append(np.full(int(inside.sum()), width))
-        weights.append(counts[inside])
+def signatures(bags: list[np.ndarray], size: int = SIZE) -> np.ndarray:
+    """For each bag, none empty, the hash of the earliest point of each component.
+
+    All bags are followed together: one round moves every process that still has
+    a point within its bag's horizon, and a bag's horizon is doubled as long as
+    one of its components is open. A component's value names the point, so it
+    does not depend on which bags are followed together.
+    """
+    found = [np.unique(bag, return_counts=True) for bag in bags]
+    values = np.concatenate([v for v, _ in found])
+    counts = np.concatenate([c for _, c in found]).astype(np.int64)
+    of = np.repeat(np.arange(len(bags)), [len(v) for v, _ in found])
+    # Intervals [0, 1), [1, 2), [2, 4) ... as far as a weight reaches.
+    parts, low, width, level = [], 0, 1, 0
+    while len(inside := np.flatnonzero(counts > low)):
+        seeds = mixed(values[inside] ^ mixed(np.full(1, level, np.uint64)))
+        parts.append((seeds, np.full(len(inside), low), np.full(len(inside), width),
+                      counts[inside], of[inside]))
         low, width, level = low + width, max(1, low + width), level + 1
-    state, lows = np.concatenate(seeds), np.concatenate(lows)
-    widths, weights = np.concatenate(widths), np.concatenate(weights)
+    state, lows, widths, weights, owner = (np.concatenate(x) for x in zip(*parts, strict=True))
     rates = widths.astype(np.float64) * size
     times = -np.log(_uniform(state)) / rates
-    best = np.full(size, np.inf)
-    horizon = (np.log(size) + 3) / float(counts.sum())
+    best = np.full(len(bags) * size, np.inf)
+    point = np.zeros(len(bags) * size, np.uint64)
+    horizon = (np.log(size) + 3) / np.array([len(bag) for bag in bags], np.float64)
     while True:
-        due = np.flatnonzero(times <= horizon)
-        if not len(due):
-            if (best <= horizon).all():
-                return mixed(best.view(np.uint64))
-            horizon *= 2
-            continue
-        drawn = mixed(state[due] + _COPY)
-        place = lows[due] + (drawn >> np.uint64(40)).astype(np.int64) % widths[due]
-        counted = place < weights[due]
-        component = (drawn & np.uint64(0xFFFFFFFF)).astype(np.int64) * size >> 32
-        np.minimum.at(best, component[counted], times[due][counted])
-        state[due] += _NEXT
-        times[due] -= np.log(_uniform(state[due])) / rates[due]
-
-
-def band_keys(text: str) -> list[int]:
-    """A hash for each band of the signature; none for a text without words."""
-    shingled = bag(text)
-    if not len(shingled):
-        return []
-    rows = signature(shingled).reshape(BANDS, ROWS)
-    numbered = np.column_stack((np.arange(BANDS, dtype=np.uint64), rows))
+        due = np.flatnonzero(times <= horizon[owner])
+        while len(due):
+            drawn = mixed(state[due] + _COPY)
+            place = lows[due] + (drawn >> np.uint64(40)).astype(np.int64) % widths[due]
+            counted = place < weights[due]
+            here, at = due[counted], drawn[counted]
+            slot = owner[here] * size + ((at & np.uint64(0xFFFFFFFF)).astype(np.int64) * size >> 32)
+            np.minimum.at(best, slot, times[here])
+            first = times[here] == best[slot]
+            point[slot[first]] = at[first]
+            state[due] += _NEXT
+            times[due] -= np.log(_uniform(state[due])) / rates[due]
+            due = due[times[due] <= horizon[owner[due]]]
+        still = (best.reshape(len(bags), size) > horizon[:, None]).any(axis=1)
+        if not still.any():
+            return mixed(point).reshape(len(bags), size)
+        horizon[still] *= 2
+
+
+def signature(shingled: np.ndarray, size: int = SIZE) -> np.ndarray:
+    return signatures([shingled], size)[0]
+
+
+def band_keys(texts: list[str]) -> list[list[int]]:
+    """For each text a hash of each band of its signature; none without words."""
+    keys: list[list[int]] = [[] for _ in texts]
+    waiting: list[tuple[int, np.ndarray]] = []
     width = ROWS + 1
-    return rolling(numbered.ravel(), width)[::width].view(np.int64).tolist()
+
+    def finish() -> None:
+        rows = signatures([bag for _, bag in waiting]).reshape(-1, BANDS, ROWS)
+        numbers = np.broadcast_to(np.arange(BANDS, dtype=np.uint64)[None, :, None],
+                                  (len(waiting), BANDS, 1))
+        numbered = np.concatenate((numbers, rows), axis=2).ravel()
+        hashed = rolling(numbered, width)[::width].view(np.int64).reshape(-1, BANDS)
+        for (k, _), own in zip(waiting, hashed.tolist(), strict=True):
+            keys[k] = own
+        waiting.clear()
+
+    size = 0
+    for k, text in enumerate(texts):
+        if len(shingled := bag(text)):
+            waiting.append((k, shingled))
+            size += len(shingled) + SIZE
+        if size >= TOGETHER:
+            finish()
+            size = 0
+    if waiting:
+        finish()
+    return keys
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -125,7 +156,7 @@ def _marked(rows: DataFrame) -> DataFrame:
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [band_keys(t) for t in batch.column("text").to_pylist()]
+            keys = band_keys(batch.column("text").to_pylist())
             yield pa.record_batch(
                 [batch.column("row"), batch.column("doc_id"), batch.column("digest"),
                  pa.array(keys, pa.list_(pa.int64()))],
