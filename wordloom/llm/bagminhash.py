@@ -350,10 +350,11 @@ def near_duplicates(
     text is empty. Rows without an id take part; a class without any id has a
     null class_id. Repeated rows count. An empty table gives no rows.
     """
-    classed = _classed(_plain(docs, id_column, text_column))
-    classes = classed.groupBy("class").agg(
+    classed = stored(_classed(_plain(docs, id_column, text_column)), "classes")
+    # Stored, so that the join meets plain shuffles and can split a hot class.
+    classes = stored(classed.groupBy("class").agg(
         F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")
-    )
+    ), "class-sizes")
     return classed.join(classes, "class").select("doc_id", "class_id", "class_size")
 
 
