@@ -151,7 +151,8 @@ def pack(
     are shuffled once, to meet their place.
     """
     tokens = token_table(id_and_text(docs, id_column, text_column), tokenizer, end_id)
-    placed = tokens.join(curve_starts(tokens), "row_id")
+    # The same plan at every size: the starts grow with the documents.
+    placed = tokens.join(curve_starts(tokens).hint("merge"), "row_id")
     first = F.floor(F.col("global_start") / sequence)
     last = F.floor((F.col("global_start") + F.col("n_tokens") - 1) / sequence)
     pieces = placed.select(
