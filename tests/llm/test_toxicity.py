@@ -66,3 +66,44 @@ def test_awkward_rows(spark, awkward, nothing):
     assert toxicity.scored(nothing, labels).count() == 0
     blank = toxicity.scored(awkward, labels.limit(0)).collect()
     assert len(blank) == awkward.count() and max(r.score for r in blank) < 1e-6
+
+
+def test_very_long_texts_score_by_what_they_say(spark):
+    """Many clean documents as one text are clean, as are many unknown words; toxic ones toxic."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fitted(docs, labels.where(~toxicity.held_out(labels["doc_id"])))
+    score = toxicity.score_column(docs["text"], model).alias("score")
+    known = docs.select("doc_id", "text", score).join(labels, "doc_id").orderBy("doc_id").collect()
+    clean = [r.text for r in known if r.toxic == 0 and r.score < 0.05]
+    bad = [r.text for r in known if r.toxic == 1 and r.score > 0.6]
+    rng = np.random.default_rng(6)
+    texts, toxic = [], []
+    for n in (50_000, 200_000):
+        unknown = " ".join(f"qz{k}" for k in rng.integers(0, 1 << 40, n).tolist())
+        texts += [unknown, f"{unknown} {' '.join(bad[:40])}"]
+        toxic += [0, 1]
+        for pool, label in ((clean, 0), (bad, 1)):
+            joined, size = [], 0
+            while size < n:
+                joined.append(pool[rng.integers(len(pool))])
+                size += len(joined[-1].split())
+            texts.append("\n".join(joined))
+            toxic.append(label)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = rows.select("doc_id", toxicity.score_column(rows["text"], model).alias("score"))
+    scores = [r.score for r in found.orderBy("doc_id").collect()]
+    assert [int(s >= toxicity.TOXIC_AT) for s in scores] == toxic
+
+
+def test_rare_features_are_left_out_without_a_difference():
+    rng = np.random.default_rng(8)
+    rows = [np.unique(rng.zipf(1.3, 12) % 500) for _ in range(300)]
+    labels = np.array([float(3 in r) for r in rows])
+    for l1 in (0.5, 2.0, 6.0):
+        all_kept, found = ftrl.fit(rows, labels, 500, l1), ftrl.fit_keys(rows, labels, l1)
+        assert found.features.tolist() == all_kept.features.tolist()
+        assert found.weights.tolist() == pytest.approx(all_kept.weights.tolist())
+        for row in rows[:20]:
+            known = all_kept.dense(500)[row].sum() + all_kept.bias
+            assert found.odds(np.repeat(row, 2)[::-1]) == pytest.approx(known)

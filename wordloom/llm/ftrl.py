@@ -35,6 +35,15 @@ class Sparse:
         table[self.features] = self.weights
         return table
 
+    def odds(self, found: np.ndarray) -> float:
+        """Log-odds of a row of features in any order, a repeated one counted once."""
+        if not len(self.features) or not len(found):
+            return self.bias
+        place = np.searchsorted(self.features, found)
+        place[place == len(self.features)] = 0
+        hit = np.unique(place[self.features[place] == found])
+        return float(self.weights[hit].sum()) + self.bias
+
 
 def probability(log_odds: np.ndarray | float) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(log_odds, -LIMIT, LIMIT)))
@@ -67,6 +76,33 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, size: int, l1: float = L1) -
     return Sparse(kept, final[kept], float(final[size]))
 
 
+def numbered(rows: list[np.ndarray], least: int = 1) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The features that ``least`` rows have, ascending, and the rows as their numbers."""
+    every = np.concatenate(rows) if rows else np.empty(0, np.int64)
+    every.sort()
+    starts = np.flatnonzero(np.diff(every, prepend=every[:1] - 1))
+    keys = every[starts[np.diff(starts, append=len(every)) >= least]]
+    del every, starts
+    found = []
+    for row in rows:
+        place = np.searchsorted(keys, row)
+        known = place < len(keys)
+        known[known] = keys[place[known]] == row[known]
+        found.append(place[known].astype(np.int32))
+    return keys, found
+
+
+def fit_keys(rows: list[np.ndarray], labels: np.ndarray, l1: float = L1) -> Sparse:
+    """``fit`` for rows of distinct 64-bit features.
+
+    A gradient is below one, so a feature in no more than l1 / EPOCHS rows never
+    gets past the penalty; leaving such features out changes no weight.
+    """
+    keys, rows = numbered(rows, int(l1 // EPOCHS) + 1)
+    found = fit(rows, labels, len(keys), l1)
+    return Sparse(keys[found.features], found.weights, found.bias)
+
+
 def labelled_sample(
     labels: DataFrame, label_column: str, id_column: str, most: int
 ) -> DataFrame:
@@ -97,7 +133,7 @@ def fit_in_one_task(
 
 def packed(batches: list[np.ndarray]) -> pa.Array:
     """Feature lists as compressed binary values."""
-    return pa.array([pack_numbers(x) for x in batches], pa.binary())
+    return pa.array([pack_numbers(x.astype(np.uint64)) for x in batches], pa.binary())
 
 
 def unpacked(column: pa.ChunkedArray) -> Iterator[np.ndarray]:

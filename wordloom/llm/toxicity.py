@@ -1,9 +1,11 @@
 """Toxicity by FTRL-proximal logistic regression (operator 10).
 
 Features are the hashes of a text's words, pairs of neighbouring words and pairs
-with one word between them, each counted once. Words are lower-cased runs of
-characters other than blanks and ASCII punctuation. What is learnt is a short
-list of weights, sent to every task that scores.
+with one word between them, each counted once. A feature is its whole 64-bit
+hash: in fewer buckets a very long text would hit many weights by collision.
+Words are lower-cased runs of characters other than blanks and ASCII
+punctuation. What is learnt is a short list of weights, sent to every task that
+scores.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ from pyspark.sql import functions as F
 from wordloom.llm import ftrl
 from wordloom.llm.common import mixed, rolling, words_of
 
-FEATURE_BITS = 18
 MAX_LABELLED = 16_384  # ids learnt from; a bound on the fit, not on what is scored
 TOXIC_AT = 0.3
 _GAP = np.uint64(0xC2B2AE3D27D4EB4F)  # tells pairs with a gap from neighbours
@@ -28,12 +29,15 @@ _BLANKED = bytes(
 )
 
 
-def features(text: str | None) -> np.ndarray:
-    """Distinct feature numbers of a whole text, ascending."""
+def _hashes(text: str | None) -> np.ndarray:
     words = words_of((text or "").encode().lower().translate(_BLANKED))[0]
     skipped = mixed(words[:-2] * _GAP + words[2:])
-    found = np.concatenate((words, rolling(words, 2), skipped))
-    return np.unique(found >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
+    return np.concatenate((words, rolling(words, 2), skipped)).astype(np.int64)
+
+
+def features(text: str | None) -> np.ndarray:
+    """Distinct features of a whole text, ascending."""
+    return np.unique(_hashes(text))
 
 
 def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "toxic") -> ftrl.Sparse:
@@ -53,8 +57,8 @@ def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "toxic") -> f
             )
 
     def train(table: pa.Table) -> pa.Table:
-        found = ftrl.fit(list(ftrl.unpacked(table.column("features"))),
-                         table.column("label").to_numpy(), 1 << FEATURE_BITS)
+        found = ftrl.fit_keys(list(ftrl.unpacked(table.column("features"))),
+                              table.column("label").to_numpy())
         return pa.table({
             "features": pa.array([found.features.tolist()], pa.list_(pa.int64())),
             "weights": pa.array([found.weights.tolist()], pa.list_(pa.float64())),
@@ -70,7 +74,7 @@ def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "toxic") -> f
         rows, train, "features array<bigint>, weights array<double>, bias double"
     ).first()
     if model is None:
-        return ftrl.fit([], np.empty(0), 1 << FEATURE_BITS)
+        return ftrl.fit_keys([], np.empty(0))
     return ftrl.Sparse(np.array(model["features"], np.int64), np.array(model["weights"]),
                        model["bias"])
 
@@ -79,9 +83,8 @@ def score_column(text: Column, model: ftrl.Sparse) -> Column:
     """Probability that a text is toxic; an empty or null text has the bias only."""
 
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = model.dense(1 << FEATURE_BITS)
         for texts in batches:
-            odds = np.array([table[features(t)].sum() + model.bias for t in texts], np.float64)
+            odds = np.array([model.odds(_hashes(t)) for t in texts], np.float64)
             yield pd.Series(ftrl.probability(odds))
 
     return F.pandas_udf(scores, "double")(text)
