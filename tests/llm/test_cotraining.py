@@ -63,3 +63,32 @@ def test_awkward_rows(spark, awkward, nothing):
     assert cotraining.keep_good(awkward, labels).columns == awkward.columns
     assert cotraining.with_scores(nothing, labels).count() == 0
     assert cotraining.keep_good(awkward, labels.limit(0)).count() == awkward.count()
+
+
+def test_very_long_texts_are_judged_by_what_they_say(spark):
+    """A good text stays good and a bad one bad, whatever their length."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = cotraining.fitted(docs, labels)
+    rows = docs.join(labels, "doc_id").orderBy("doc_id").collect()
+    good = [r.text for r in rows if r.quality == 1]
+    bad = [r.text for r in rows if r.quality == 0]
+    rng = np.random.default_rng(2)
+
+    def odds(pool, n, tail=""):
+        joined, size = [], 0
+        while size < n:
+            joined.append(pool[rng.integers(len(pool))])
+            size += len(joined[-1].split())
+        found = cotraining.text_features("\n".join([*joined, tail]))
+        return cotraining._text_odds(model.text, [found])[0]
+
+    # Words that no document has say nothing: the log-odds stay what they were.
+    unknown = "\n".join(f"zq{k}zq" for k in rng.integers(0, 1 << 40, 400_000).tolist())
+    for pool, sign in ((good, 1), (bad, -1)):
+        for n in (2_000, 20_000):
+            state = rng.bit_generator.state
+            alone = odds(pool, n, "zq1zq\nzq2zq")
+            rng.bit_generator.state = state
+            assert odds(pool, n, unknown) == pytest.approx(alone, abs=4)
+    assert odds(good, 200_000) > 5 and odds(bad, 2_000) < 0

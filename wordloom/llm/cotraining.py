@@ -5,7 +5,8 @@ and their shapes), one at its metadata (language, source, size, layout and
 character classes). Over some rounds each labels the documents of an unlabelled
 pool it is surest of, and the other learns from those. Then each view's
 log-odds are calibrated on labelled documents neither has learnt from, and the
-mean of the calibrated log-odds scores every document.
+mean of the calibrated log-odds scores every document. A feature of the text is
+its whole 64-bit hash, so that very long texts do not hit weights by collision.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ from pyspark.sql import functions as F
 from wordloom.llm import ftrl
 from wordloom.llm.common import mixed, rolling, words_of
 
-FEATURE_BITS = 16
 MAX_LABELLED = 8_192  # ids learnt from and calibrated on; a bound on the fit alone
 MAX_POOL = 8_192  # unlabelled documents that get pseudo-labels; a bound on the fit alone
 TEXT_L1 = 2.0
@@ -45,16 +45,19 @@ _CLASS = bytes(
 _RUN = re.compile(rb"([^\s])\1+")
 
 
+def _text_hashes(text: str | None) -> np.ndarray:
+    data = (text or "").encode()
+    shapes = words_of(_RUN.sub(rb"\1", data.translate(_CLASS)))[0]
+    words = words_of(data.lower())[0]
+    return np.concatenate((mixed(words), shapes, rolling(shapes, 2))).astype(np.int64)
+
+
 def text_features(text: str | None) -> np.ndarray:
-    """Distinct feature numbers: lower-cased words, shapes of words, pairs of shapes.
+    """Distinct features: lower-cased words, shapes of words, pairs of shapes.
 
     A shape has one character for each run of a class: "Hello," is "Aa,".
     """
-    data = (text or "").encode()
-    shapes = words_of(_RUN.sub(rb"\1", data.translate(_CLASS)))[0]
-    words = words_of(data.lower())[0]
-    found = np.concatenate((mixed(words), shapes, rolling(shapes, 2)))
-    return np.unique(found >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
+    return np.unique(_text_hashes(text))
 
 
 NUMBERS = 13
@@ -144,8 +147,7 @@ class Model:
 
 
 def _text_odds(model: ftrl.Sparse, rows: list[np.ndarray]) -> np.ndarray:
-    table = model.dense(1 << FEATURE_BITS)
-    return np.array([table[row].sum() + model.bias for row in rows], np.float64)
+    return np.array([model.odds(row) for row in rows], np.float64)
 
 
 def cotrain(texts: list[np.ndarray], metadata: np.ndarray, labels: np.ndarray) -> Model | None:
@@ -158,13 +160,14 @@ def cotrain(texts: list[np.ndarray], metadata: np.ndarray, labels: np.ndarray) -
     if len(set(labels[train].tolist())) < 2:
         return None
     pool = np.flatnonzero(labels < 0)
+    keys, texts = ftrl.numbered(texts)
     # Each view learns from the labelled rows and from what the other has labelled.
     for_text, for_metadata = (train, labels[train]), (train, labels[train])
     most = max(1, int(SHARE_PER_ROUND * len(pool)))
 
     def fit() -> tuple[ftrl.Sparse, Metadata]:
         at, y = for_text
-        return (ftrl.fit([texts[k] for k in at], y, 1 << FEATURE_BITS, TEXT_L1),
+        return (ftrl.fit([texts[k] for k in at], y, len(keys), TEXT_L1),
                 Metadata.fit(metadata[for_metadata[0]], for_metadata[1]))
 
     def surest(odds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,7 +188,7 @@ def cotrain(texts: list[np.ndarray], metadata: np.ndarray, labels: np.ndarray) -
         by_text, by_metadata = fit()
     y = labels[held]
     return Model(
-        by_text, by_metadata,
+        ftrl.Sparse(keys[by_text.features], by_text.weights, by_text.bias), by_metadata,
         calibrated(_text_odds(by_text, [texts[k] for k in held]), y),
         calibrated(by_metadata.odds(metadata[held]), y),
     )
@@ -266,11 +269,10 @@ def score_column(
     def scores(
         batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]],
     ) -> Iterator[pd.Series]:
-        table = model.text.dense(1 << FEATURE_BITS)
         for texts, langs, sources, sizes in batches:
             sizes = [None if pd.isna(n) else int(n) for n in sizes]
             rows = [metadata_features(*r) for r in zip(texts, langs, sources, sizes, strict=True)]
-            text_odds = [table[text_features(t)].sum() + model.text.bias for t in texts]
+            text_odds = [model.text.odds(_text_hashes(t)) for t in texts]
             metadata = np.array(rows).reshape(len(rows), -1)
             yield pd.Series(ftrl.probability(model.odds(np.array(text_odds), metadata))
                             if rows else np.empty(0))
