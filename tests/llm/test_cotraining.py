@@ -92,3 +92,14 @@ def test_very_long_texts_are_judged_by_what_they_say(spark):
             rng.bit_generator.state = state
             assert odds(pool, n, unknown) == pytest.approx(alone, abs=4)
     assert odds(good, 200_000) > 5 and odds(bad, 2_000) < 0
+
+
+def test_a_repeated_id_is_learnt_from_once(spark, real, real_sf, monkeypatch):
+    labels = spark.read.parquet(f"{real_sf}/labels.parquet")
+    hot = labels.where("quality = 0").orderBy("doc_id").first().doc_id
+    again = spark.range(500).select("id").crossJoin(real.where(real["doc_id"] == hot)).drop("id")
+    model = cotraining.fitted(real.unionByName(again).repartition(5), labels)
+    expected = cotraining.fitted(real, labels)
+    assert model.text.features.tolist() == expected.text.features.tolist()
+    assert model.text.weights.tolist() == expected.text.weights.tolist()
+    assert model.metadata.weights.tolist() == expected.metadata.weights.tolist()

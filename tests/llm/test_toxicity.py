@@ -107,3 +107,19 @@ def test_rare_features_are_left_out_without_a_difference():
         for row in rows[:20]:
             known = all_kept.dense(500)[row].sum() + all_kept.bias
             assert found.odds(np.repeat(row, 2)[::-1]) == pytest.approx(known)
+
+
+def test_a_repeated_id_is_learnt_from_once(spark, real, real_sf):
+    """Rows of one labelled id, equal ones and others, against one row of it."""
+    labels = spark.read.parquet(f"{real_sf}/labels.parquet")
+    docs = real.select("doc_id", "text").join(labels.select("doc_id"), "doc_id", "left_semi")
+    hot = docs.join(labels.where("toxic = 0"), "doc_id").orderBy("doc_id").first().doc_id
+    others = [(hot, f"you idiot {k % 50}") for k in range(2000)]
+    rows = spark.createDataFrame(others, "doc_id long, text string")
+    least = rows.unionByName(docs.where(docs["doc_id"] == hot)).orderBy(
+        ftrl.row_hash("text")).limit(1)
+    found = toxicity.fitted(docs.unionByName(rows).repartition(5), labels)
+    expected = toxicity.fitted(
+        docs.where(docs["doc_id"] != hot).unionByName(least), labels)
+    assert found.features.tolist() == expected.features.tolist()
+    assert found.weights.tolist() == expected.weights.tolist() and found.bias == expected.bias

@@ -209,7 +209,8 @@ def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "quality") ->
 
     ``docs`` has doc_id, text, lang, source and n_chars, ``labels`` doc_id and
     the label. Learns from at most MAX_LABELLED labelled ids and a pool of at most
-    MAX_POOL others, those with the smallest hash of their id.
+    MAX_POOL others, those with the smallest hash of their id, and of several
+    rows of an id from the one with the least hash.
     """
     labelled = ftrl.labelled_sample(labels, label_column, "doc_id", MAX_LABELLED)
     others = docs.select("doc_id").dropna().distinct().join(
@@ -220,14 +221,15 @@ def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "quality") ->
         "turn", "doc_id").limit(MAX_POOL)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in ftrl.least_rows(batches):
             rows = list(zip(*(batch.column(c).to_pylist()
                               for c in ("text", "lang", "source", "n_chars")), strict=True))
+            kept = ["doc_id", "pick", "turn", "label"]
             yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("turn"), batch.column("label"),
+                [*(batch.column(c) for c in kept),
                  ftrl.packed([text_features(r[0]) for r in rows]),
                  pa.array([metadata_features(*r) for r in rows], pa.list_(pa.float64()))],
-                names=["doc_id", "turn", "label", "text", "metadata"],
+                names=[*kept, "text", "metadata"],
             )
 
     def train(table: pa.Table) -> pa.Table:
@@ -243,9 +245,10 @@ def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "quality") ->
 
     # At most MAX_LABELLED + MAX_POOL rows of three numbers.
     chosen = F.broadcast(labelled.select("doc_id", "label", "turn").unionByName(pool))
+    columns = ("text", "lang", "source", "n_chars")
     rows = docs.join(chosen, "doc_id").select(
-        "doc_id", "turn", "label", "text", "lang", "source", "n_chars"
-    ).mapInArrow(extract, "doc_id bigint, turn bigint, label int, text binary, "
+        "doc_id", ftrl.row_hash(*columns), "turn", "label", *columns
+    ).mapInArrow(extract, "doc_id bigint, pick bigint, turn bigint, label int, text binary, "
                           "metadata array<double>")
     row = ftrl.fit_in_one_task(rows, train, MODEL).first()
     if row is None:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.common import pack_numbers, unpack_numbers
@@ -121,11 +121,39 @@ def labelled_sample(
     return one.select("doc_id", "label", turn.alias("turn")).orderBy("turn", "doc_id").limit(most)
 
 
+def row_hash(*columns: str) -> Column:
+    """Says which of the rows of an id is learnt from: the one where it is least."""
+    return F.xxhash64(*columns, *(F.col(c).isNull() for c in columns)).alias("pick")
+
+
+def least_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose ``pick`` is less than that of all earlier rows of their ``doc_id``.
+
+    So a task passes on few of the rows of a repeated id, and holds one number for
+    each id of the sample.
+    """
+    least: dict[int, int] = {}
+    for batch in batches:
+        chosen = []
+        for k, (doc_id, pick) in enumerate(zip(batch.column("doc_id").to_pylist(),
+                                               batch.column("pick").to_pylist(), strict=True)):
+            if pick < least.get(doc_id, 1 << 63):
+                least[doc_id] = pick
+                chosen.append(k)
+        yield batch.take(pa.array(chosen, pa.int64()))
+
+
 def fit_in_one_task(
     features: DataFrame, train, schema: str
 ) -> DataFrame:
-    """``train`` (table -> table) over all rows of a bounded sample, in one task."""
-    return features.groupBy(F.lit(0).alias("sample")).applyInArrow(
+    """``train`` (table -> table) over one row per id of a bounded sample, in one task.
+
+    Of several rows of an id that with the least ``pick`` is kept, before the rows
+    meet in one place.
+    """
+    others = [c for c in features.columns if c not in ("doc_id", "pick")]
+    one = features.groupBy("doc_id").agg(F.min(F.struct("pick", *others)).alias("kept"))
+    return one.select("doc_id", *(f"kept.{c}" for c in others)).groupBy(F.lit(0).alias("sample")).applyInArrow(
         lambda _, table: train(table.sort_by([("turn", "ascending"), ("doc_id", "ascending")])),
         schema,
     )

@@ -41,7 +41,7 @@ def features(text: str | None) -> np.ndarray:
 
 
 def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "toxic") -> ftrl.Sparse:
-    """Weights learnt from at most MAX_LABELLED labelled documents.
+    """Weights learnt from at most MAX_LABELLED labelled documents, one for each id.
 
     ``docs`` has doc_id and text, ``labels`` doc_id and the label. Without any
     labelled document nothing counts as toxic.
@@ -49,12 +49,11 @@ def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "toxic") -> f
     sample = ftrl.labelled_sample(labels, label_column, "doc_id", MAX_LABELLED)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in ftrl.least_rows(batches):
             found = ftrl.packed([features(t) for t in batch.column("text").to_pylist()])
-            yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("turn"), batch.column("label"), found],
-                names=["doc_id", "turn", "label", "features"],
-            )
+            kept = ["doc_id", "pick", "turn", "label"]
+            yield pa.record_batch([*(batch.column(c) for c in kept), found],
+                                  names=[*kept, "features"])
 
     def train(table: pa.Table) -> pa.Table:
         found = ftrl.fit_keys(list(ftrl.unpacked(table.column("features"))),
@@ -67,8 +66,8 @@ def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "toxic") -> f
 
     # The sample has at most MAX_LABELLED rows of three numbers.
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    rows = rows.select("doc_id", "turn", "label", "text").mapInArrow(
-        extract, "doc_id bigint, turn bigint, label int, features binary"
+    rows = rows.select("doc_id", ftrl.row_hash("text"), "turn", "label", "text").mapInArrow(
+        extract, "doc_id bigint, pick bigint, turn bigint, label int, features binary"
     )
     model = ftrl.fit_in_one_task(
         rows, train, "features array<bigint>, weights array<double>, bias double"
@@ -106,8 +105,8 @@ def scored(
     """``doc_id, held_out, score, predicted`` for every row of ``docs``.
 
     Only texts and the labels of rows that are not held out are used. Null texts
-    are empty; repeated rows come back repeated, and a labelled one is learnt
-    from as often; an empty table gives no rows; without labels all scores are
+    are empty; repeated rows come back repeated, and of the rows of a labelled
+    id the one with the least hash of the text is learnt from; an empty table gives no rows; without labels all scores are
     next to zero. Scoring is row by row, over whole texts.
     """
     rows = docs.select(
