@@ -103,3 +103,30 @@ def test_a_repeated_id_is_learnt_from_once(spark, real, real_sf, monkeypatch):
     assert model.text.features.tolist() == expected.text.features.tolist()
     assert model.text.weights.tolist() == expected.text.weights.tolist()
     assert model.metadata.weights.tolist() == expected.metadata.weights.tolist()
+
+
+def test_labels_of_other_documents_use_up_nothing(spark, real, real_sf, monkeypatch):
+    """The sample is of the documents that are there, and has both classes."""
+    labels = spark.read.parquet(f"{real_sf}/labels.parquet")
+    strangers = spark.range(10**6, 10**6 + 3000).selectExpr(
+        "id as doc_id", "1 as quality", "0 as toxic")
+    every = labels.select("doc_id", "quality", "toxic").unionByName(strangers)
+    monkeypatch.setattr(cotraining, "MAX_LABELLED", 30)
+    expected, found = cotraining.fitted(real, labels), cotraining.fitted(real, every)
+    assert expected is not None and found is not None
+    assert found.text.features.tolist() == expected.text.features.tolist()
+    assert found.text.weights.tolist() == expected.text.weights.tolist()
+
+
+def test_a_sample_keeps_a_scarce_class(spark):
+    labels = spark.range(5000).selectExpr("id as doc_id", "if(id in (7, 8), 0, 1) as quality")
+    ids = spark.range(4000).selectExpr("id as doc_id")
+    rows = ftrl.labelled_sample(labels, ids, "quality", "doc_id", 64).collect()
+    assert len(rows) == 64 and {r.doc_id for r in rows if r.label == 0} == {7, 8}
+    assert max(r.doc_id for r in rows) < 4000
+    # Where no class is scarce, those of the smallest hashes.
+    halves = spark.range(5000).selectExpr("id as doc_id", "id % 2 as quality")
+    least = halves.selectExpr("doc_id", "xxhash64(doc_id) as h").orderBy("h").limit(64).collect()
+    rows = ftrl.labelled_sample(
+        halves, halves.select("doc_id"), "quality", "doc_id", 64).collect()
+    assert {r.doc_id for r in rows} == {r.doc_id for r in least}

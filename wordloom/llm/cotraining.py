@@ -208,12 +208,13 @@ def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "quality") ->
     """The model of a bounded sample, or None where two labels are not to be had.
 
     ``docs`` has doc_id, text, lang, source and n_chars, ``labels`` doc_id and
-    the label. Learns from at most MAX_LABELLED labelled ids and a pool of at most
-    MAX_POOL others, those with the smallest hash of their id, and of several
+    the label. Learns from at most MAX_LABELLED labelled ids of ``docs`` and a pool of
+    at most MAX_POOL others, those with the smallest hash of their id, and of several
     rows of an id from the one with the least hash.
     """
-    labelled = ftrl.labelled_sample(labels, label_column, "doc_id", MAX_LABELLED)
-    others = docs.select("doc_id").dropna().distinct().join(
+    ids = docs.select("doc_id").dropna().distinct()
+    labelled = ftrl.labelled_sample(labels, ids, label_column, "doc_id", MAX_LABELLED)
+    others = ids.join(
         labels.select(labels["doc_id"].cast("bigint").alias("doc_id")), "doc_id", "left_anti"
     )
     turn = F.xxhash64("doc_id")

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.llm.common import pack_numbers, unpack_numbers
@@ -20,6 +20,7 @@ from wordloom.llm.common import pack_numbers, unpack_numbers
 ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 6.0, 0.1, 3
 NEVER = -20.0  # log-odds where there was nothing to learn from
 LIMIT = 35.0
+CLASS_SHARE = 16  # a sample has this part of each class, if there is so much of it
 
 
 @dataclass
@@ -104,21 +105,29 @@ def fit_keys(rows: list[np.ndarray], labels: np.ndarray, l1: float = L1) -> Spar
 
 
 def labelled_sample(
-    labels: DataFrame, label_column: str, id_column: str, most: int
+    labels: DataFrame, ids: DataFrame, label_column: str, id_column: str, most: int
 ) -> DataFrame:
-    """``doc_id, label, turn`` of at most ``most`` labelled ids.
+    """``doc_id, label, turn`` of at most ``most`` labelled ids that are in ``ids``.
 
     Those with the smallest hash of the id, so the sample does not depend on the
-    order of the rows; ``turn`` is that hash. An id labelled both ways has the
-    larger label; null ids and labels are left out.
+    order of the rows; ``turn`` is that hash. A scarce class (labels above 0, and
+    all others) goes first with up to a share 1 / CLASS_SHARE of the sample. An id
+    labelled both ways has the larger label; null ids and labels are left out.
+    ``ids`` has distinct values of doc_id.
     """
     known = labels.select(
         labels[id_column].cast("bigint").alias("doc_id"),
         labels[label_column].cast("int").alias("label"),
     ).dropna()
     one = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    turn = F.xxhash64("doc_id")
-    return one.select("doc_id", "label", turn.alias("turn")).orderBy("turn", "doc_id").limit(most)
+    here = one.join(ids, "doc_id", "left_semi")
+    here = here.select("doc_id", "label", F.xxhash64("doc_id").alias("turn"))
+    positive = F.col("label") > 0
+    first = [here.where(c).orderBy("turn", "doc_id").limit(most) for c in (positive, ~positive)]
+    # At most 2 * most rows of three numbers are left for the window.
+    place = F.row_number().over(Window.partitionBy(positive).orderBy("turn", "doc_id"))
+    ranked = first[0].unionByName(first[1]).withColumn("late", place > max(1, most // CLASS_SHARE))
+    return ranked.orderBy("late", "turn", "doc_id").limit(most).drop("late")
 
 
 def row_hash(*columns: str) -> Column:

@@ -46,7 +46,8 @@ def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "toxic") -> f
     ``docs`` has doc_id and text, ``labels`` doc_id and the label. Without any
     labelled document nothing counts as toxic.
     """
-    sample = ftrl.labelled_sample(labels, label_column, "doc_id", MAX_LABELLED)
+    ids = docs.select("doc_id").dropna().distinct()
+    sample = ftrl.labelled_sample(labels, ids, label_column, "doc_id", MAX_LABELLED)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in ftrl.least_rows(batches):
