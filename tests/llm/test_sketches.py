@@ -89,3 +89,32 @@ def test_fingerprint_column(awkward):
     rows = awkward.select("text", sketches.fingerprint_column(awkward["text"]).alias("mark"))
     for r in rows.collect():
         assert r.mark == sketches.fingerprint(r.text)
+
+
+def test_short_texts_are_compared_without_an_estimate():
+    rng = random.Random(4)
+    for n in (5, 6, 8, 10, 16, 30, 60, 100):
+        for k in range(60):
+            words = [f"v{rng.randrange(10**6)}" for _ in range(n)]
+            near = words[: n - 1 - k % 3] + ["other"] * (1 + k % 3)
+            a, b = " ".join(words), " ".join(near)
+            x, y = sketches.fingerprint(a), sketches.fingerprint(b)
+            assert sketches.likeness(x, y) == pytest.approx(true_likeness(a, b))
+            shared = len(shingle_set(a) & shingle_set(b)) / len(shingle_set(a))
+            assert sketches.containment(x, y) == pytest.approx(shared)
+            union = sketches.merged([x, y])
+            assert sketches.containment(x, union) == sketches.containment(y, union) == 1.0
+
+
+def test_a_short_text_meets_a_long_one():
+    rng = random.Random(9)
+    errors, missed = [], 0
+    for _ in range(200):
+        words = [f"v{rng.randrange(10**6)}" for _ in range(2000)]
+        at = rng.randrange(1900)
+        part, whole = " ".join(words[at : at + 12]), " ".join(words)
+        x, y = sketches.fingerprint(part), sketches.fingerprint(whole)
+        errors.append(sketches.likeness(x, y) - true_likeness(part, whole))
+        missed += sketches.containment(x, y) < 1
+        assert sketches.retained(sketches.merged([x, y])).tolist() == sketches.retained(y).tolist()
+    assert max(map(abs, errors)) < 0.02 and missed / 200 < 0.03

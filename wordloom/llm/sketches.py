@@ -4,10 +4,13 @@ A fingerprint retains every hash of a five-word shingle that lies below a fixed
 fraction of the hash range. Whatever the sizes of two texts, the same hashes
 survive in both, so shared and own shingles can be estimated from the retained
 ones, containment of a short text in a long one included; and the fingerprint
-of a union is the union of the fingerprints.
+of a union is the union of the fingerprints. Short texts, of which few hashes or
+none might survive, keep the others too, apart: two short texts are compared
+without an estimate.
 
 As a string: 16 hex digits of the text's own hash, a colon, and 16 hex digits
-for each retained shingle hash, ascending.
+for each retained shingle hash, ascending; for a short text then a plus sign and
+the hashes above the fraction, ascending.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ from pyspark.sql import functions as F
 
 from wordloom.llm.common import id_and_text, shingles, shuffle_partitions, words_of
 
-FRACTION = 1 / 4  # of all shingle hashes that are retained
+FRACTION = 1 / 2  # of all shingle hashes that are retained
+SHORT = 256  # shingles; texts of no more keep the rest of their hashes as well
 NO_ID = -(1 << 63)  # where rows without an id are placed: first
 
 COMPARED = (
@@ -36,13 +40,33 @@ COMPARED = (
 def fingerprint(text: str | None, fraction: float = FRACTION) -> str:
     data = (text or "").encode()
     hashes = np.unique(shingles(words_of(data)[0]))
-    kept = hashes[hashes < np.uint64(int(fraction * 2**64) - 1)]
-    return f"{xxhash.xxh3_64_intdigest(data):016x}:{kept.astype('>u8').tobytes().hex()}"
+    cut = int(np.searchsorted(hashes, np.uint64(int(fraction * 2**64) - 1)))
+    rest = f"+{_hex(hashes[cut:])}" if len(hashes) <= SHORT else ""
+    return f"{xxhash.xxh3_64_intdigest(data):016x}:{_hex(hashes[:cut])}{rest}"
+
+
+def _hex(hashes: np.ndarray) -> str:
+    return hashes.astype(">u8").tobytes().hex()
+
+
+def _numbers(digits: str) -> np.ndarray:
+    return np.frombuffer(bytes.fromhex(digits), ">u8")
 
 
 def retained(mark: str) -> np.ndarray:
-    """The shingle hashes in a fingerprint, ascending."""
-    return np.frombuffer(bytes.fromhex(mark.partition(":")[2]), ">u8")
+    """The shingle hashes below the fraction in a fingerprint, ascending."""
+    return _numbers(mark.partition(":")[2].partition("+")[0])
+
+
+def _is_short(mark: str) -> bool:
+    return "+" in mark
+
+
+def _comparable(mark: str, other: str) -> tuple[np.ndarray, np.ndarray]:
+    """All hashes of two short texts, else those that both would have retained."""
+    if _is_short(mark) and _is_short(other):
+        return tuple(_numbers(m.partition(":")[2].replace("+", "")) for m in (mark, other))
+    return retained(mark), retained(other)
 
 
 def _shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -50,29 +74,37 @@ def _shared(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def likeness(mark: str, other: str) -> float:
-    """Estimated share of common shingles among all shingles of both texts.
+    """Share of common shingles among all shingles of both texts.
 
-    1 for equal fingerprints. Where neither text retained a hash (very short
-    texts) the texts' own hashes decide: 1 if equal, else 0.
+    Exact for two short texts, else estimated. 1 for equal fingerprints. Where
+    neither text retained a hash the texts' own hashes decide: 1 if equal, else 0.
     """
     if mark == other:
         return 1.0
-    a, b = retained(mark), retained(other)
+    a, b = _comparable(mark, other)
     both = _shared(a, b)
     return both / (len(a) + len(b) - both) if len(a) + len(b) else 0.0
 
 
 def containment(mark: str, other: str) -> float:
-    """Estimated share of the first text's shingles that the other text has."""
-    a = retained(mark)
-    return _shared(a, retained(other)) / len(a) if len(a) else float(mark == other)
+    """Share of the first text's shingles that the other text has; exact for short texts."""
+    a, b = _comparable(mark, other)
+    return _shared(a, b) / len(a) if len(a) else float(mark == other)
 
 
 def merged(marks: list[str]) -> str:
-    """Fingerprint of the texts' shingles together; its own hash is that of the marks."""
+    """Fingerprint of the texts' shingles together; its own hash is that of the marks.
+
+    The hashes above the fraction are kept where all texts and their union are short.
+    """
     hashes = np.unique(np.concatenate([retained(m) for m in marks] or [np.empty(0, ">u8")]))
     own = xxhash.xxh3_64_intdigest("".join(sorted({m.partition(":")[0] for m in marks})))
-    return f"{own:016x}:{hashes.astype('>u8').tobytes().hex()}"
+    rest = ""
+    if marks and all(map(_is_short, marks)):
+        above = np.unique(np.concatenate([_numbers(m.partition("+")[2]) for m in marks]))
+        if len(hashes) + len(above) <= SHORT:
+            rest = f"+{_hex(above)}"
+    return f"{own:016x}:{_hex(hashes)}{rest}"
 
 
 def fingerprint_column(text: Column) -> Column:
