@@ -14,6 +14,7 @@ from wordloom.llm import (
     distinct_words,
     language_model,
     packing,
+    pieces,
     planes,
     repetition,
     sketches,
@@ -84,6 +85,17 @@ def op10_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_spanned_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = pieces.encode_and_decode(table(spark, sf_dir, "documents"), model)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).alias("source_bytes"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_plane_files": op1_plane_files,
     "op2_scaled_sketches": op2_scaled_sketches,
@@ -95,4 +107,5 @@ QUERIES: dict[str, Query] = {
     "op8_backoff_automaton": op8_backoff_automaton,
     "op9_curve_packing": op9_curve_packing,
     "op10_ftrl_toxicity": op10_ftrl_toxicity,
+    "op13_spanned_pieces": op13_spanned_pieces,
 }
