@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wordloom.llm import (
     bagminhash,
+    conversations,
     cotraining,
     distinct_words,
     language_model,
@@ -85,6 +86,11 @@ def op10_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_checkpointed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.audited(rows, copies="copies")
+
+
 def op13_spanned_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     coded = pieces.encode_and_decode(table(spark, sf_dir, "documents"), model)
@@ -107,5 +113,6 @@ QUERIES: dict[str, Query] = {
     "op8_backoff_automaton": op8_backoff_automaton,
     "op9_curve_packing": op9_curve_packing,
     "op10_ftrl_toxicity": op10_ftrl_toxicity,
+    "op12_checkpointed_repair": op12_checkpointed_repair,
     "op13_spanned_pieces": op13_spanned_pieces,
 }
