@@ -13,6 +13,7 @@ from wordloom.llm import (
     conversations,
     cotraining,
     distinct_words,
+    divergence,
     language_model,
     packing,
     pieces,
@@ -86,6 +87,10 @@ def op10_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_pattern_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 def op12_checkpointed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conversations.damaged(table(spark, sf_dir, "conversations"))
     return conversations.audited(rows, copies="copies")
@@ -113,6 +118,7 @@ QUERIES: dict[str, Query] = {
     "op8_backoff_automaton": op8_backoff_automaton,
     "op9_curve_packing": op9_curve_packing,
     "op10_ftrl_toxicity": op10_ftrl_toxicity,
+    "op11_pattern_tree": op11_pattern_tree,
     "op12_checkpointed_repair": op12_checkpointed_repair,
     "op13_spanned_pieces": op13_spanned_pieces,
 }

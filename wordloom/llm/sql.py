@@ -90,7 +90,53 @@ SELECT * EXCLUDE (dup_ngram_chars),
 FROM judged
 """
 
+# Every share of every kept term in every group, and all pairs of groups.
+OP11 = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang,
+        coalesce(source, '') AS source, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), words AS (
+    SELECT row_id, lang, source, unnest(words) AS term FROM texts
+), kept AS (
+    SELECT lang, term, count(*) AS all_n FROM words GROUP BY lang, term
+    HAVING count(DISTINCT row_id) >= 30
+), langs AS (
+    SELECT lang, count(*) AS v, sum(all_n)::HUGEINT AS all_total FROM kept GROUP BY lang
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), totals AS (
+    SELECT lang, source, sum(n)::HUGEINT AS total FROM counts GROUP BY ALL
+), sources AS (
+    SELECT lang, source, coalesce(total, 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM texts) LEFT JOIN totals USING (lang, source)
+), shares AS (
+    SELECT s.lang, s.source, k.term, coalesce(n, 0) AS n,
+        1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (total + 5 * v) AS p,
+        1 + (1000000000::HUGEINT * (all_n + 5)) // (all_total + 5 * v) AS q
+    FROM sources AS s JOIN kept AS k USING (lang) JOIN langs USING (lang)
+        LEFT JOIN counts AS c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), apart AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM shares AS a JOIN shares AS b ON a.lang = b.lang AND a.term = b.term
+    WHERE a.source <> b.source GROUP BY ALL
+), rows AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM sources AS a JOIN sources AS b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN apart AS p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q)::BIGINT FROM shares WHERE n > 0 AND p > q
+)
+SELECT * FROM (
+    SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+    FROM rows)
+WHERE part = 'pair' OR rank <= 50
+"""
+
 ORACLE: dict[str, str] = {
     "op6_repetition_coverage": OP6,
     "op7_warc_index": OP7,
+    "op11_pattern_tree": OP11,
 }
