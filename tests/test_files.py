@@ -2,6 +2,8 @@
 
 import gzip
 import re
+import threading
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -12,8 +14,9 @@ import wordloom as w
 from wordloom import __main__ as cli
 from wordloom import fixed_values as fixed
 from wordloom.operators.ranking import top_words
-from wordloom.plans import stages
-from wordloom.session import settings_for, shuffle_partitions
+from wordloom.operators.letters import letter_counts
+from wordloom.plans import pipeline, stages
+from wordloom.session import own_session, settings_for, shuffle_partitions, words_in_files
 from wordloom.sinks import tables, text
 from wordloom.sources import manifest
 from wordloom.sources import words as readers
@@ -322,10 +325,137 @@ def test_compression_of_the_input_does_not_change_the_shuffles(spark, tmp_path,
         raw.mkdir()
         (raw / name).write_bytes(content_of)
         w.run_pipeline(spark, str(raw), str(tmp_path / f"out-{name}"))
-        words = tmp_path / f"words-{name}"
-        stages.clean_text(spark, str(raw), str(words))
-        stages.count_words(spark, str(words), str(tmp_path / f"counts-{name}"))
-    assert asked == [400] * 4
+    assert asked == [400] * 2
+
+
+def test_single_jobs_size_their_shuffles_by_names_and_sizes(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"x" * 700)
+    (tmp_path / "b.GZ").write_bytes(b"x" * 70)
+    assert words_in_files(manifest.list_files(spark, str(tmp_path))) == (700 + 4 * 70) // 7
+
+
+@pytest.mark.parametrize("job", ["count_words", "alphabet_distribution", "final_analysis"])
+def test_single_jobs_scan_their_input_once(spark, tmp_path, monkeypatch, job):
+    """No job of a single stage reads the stored lines only to count them."""
+    read = []
+    plain = stages.read_lines
+    monkeypatch.setattr(stages, "read_lines", lambda s, path: read.append(path) or plain(s, path))
+    results = []
+    written = text.write_lines
+    monkeypatch.setattr(stages.text, "write_lines", lambda lines, *a, **k: results.append(
+        lines) or written(lines, *a, **k))
+    words, counts, top = (tmp_path / d for d in ("words", "counts", "top"))
+    words.write_text("a\t\nb\t\na\t\n")
+    counts.write_text("cat\t12\ndog\t3\n")
+    top.write_text("cat\t12\n")
+    inputs = [str(counts), str(top)] if job == "final_analysis" else [str(words)]
+    getattr(stages, job)(spark, *inputs, str(tmp_path / "out"))
+    assert read == inputs
+    if job != "final_analysis":  # which stores its ranking first
+        results[0].collect()
+        plan = results[0]._jdf.queryExecution().executedPlan().toString()
+        assert plan.split("== Initial Plan ==")[0].count("FileScan text") == 1
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_runs_leave_the_settings_of_the_session_alone(spark, four_lines, tmp_path, monkeypatch):
+    monkeypatch.setattr("wordloom.session.WORDS_PER_SHUFFLE_PARTITION", 1)
+    before, seen = spark.conf.getAll, []
+    counted = pipeline.word_counts
+    monkeypatch.setattr(pipeline, "word_counts", lambda words: seen.append(spark.conf.getAll) or counted(words))
+    w.run_pipeline(spark, str(four_lines), str(tmp_path / "out"))
+    assert seen == [before] and spark.conf.getAll == before
+    own = own_session(spark)
+    assert own.conf.get("spark.sql.icu.caseMappings.enabled") == "false"
+    assert own.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def marked(out):
+    """Every stage directory with a file that only an earlier run can have left."""
+    for stage in fixed.STAGE_DIRS:
+        (out / stage).mkdir(parents=True)
+        (out / stage / "part-old").write_text("old\n")
+
+
+@pytest.mark.parametrize("layout", ["text", "parquet"])
+def test_a_failed_stage_ends_the_run_and_keeps_old_outputs(spark, four_lines, tmp_path, monkeypatch, layout):
+    out = tmp_path / "out"
+    marked(out)
+    steps = []
+    plain = tables.write_table
+    monkeypatch.setattr(tables, "write_table", lambda df, path: steps.append(path) or plain(df, path))
+
+    def fail(counts, n):
+        raise ValueError("stage 5 fails")
+
+    slow = threading.Event()
+
+    def letters(counts):  # still at work when stage 5 fails
+        slow.wait(3)
+        return letter_counts(counts)
+
+    monkeypatch.setattr(pipeline, "top_words", fail)
+    monkeypatch.setattr(pipeline, "letter_counts", letters)
+    with pytest.raises(ValueError, match="stage 5 fails"):
+        w.run_pipeline(spark, str(four_lines), str(out), layout=layout)
+    started = [path.rsplit("/", 1)[1] for path in steps]
+    assert "stage5_topn" not in started and "stage4_alphabet" not in started
+    assert not any("stage6_final" in path for path in steps)
+    for stage in ("stage4_alphabet", "stage5_topn", "stage6_final"):
+        assert [p.name for p in (out / stage).iterdir()] == ["part-old"]
+    assert sorted(p.name for p in out.iterdir()) == sorted(fixed.STAGE_DIRS)
+
+
+def test_running_jobs_are_cancelled(spark):
+    """A job of hours ends soon after another one fails."""
+    at_once = pipeline._AtOnce(spark)
+    started = threading.Event()
+
+    def endless():
+        started.set()
+        spark.range(10**15).selectExpr("sum(hash(id))").collect()
+
+    def fail():
+        started.wait(10)
+        raise ValueError("no")
+
+    before = time.monotonic()
+    with pytest.raises(ValueError, match="no"):
+        at_once.run(endless, fail)
+    assert time.monotonic() - before < 60
+    with pytest.raises(RuntimeError, match="another stage"):
+        at_once.check()
+
+
+def test_a_missing_shared_folder_is_an_error_on_a_cluster():
+    def session(master, warehouse):
+        conf = {"spark.sql.warehouse.dir": warehouse}
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)),
+                               sparkContext=SimpleNamespace(master=master))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        tables.shared_folder(session("yarn", "file:/home/warehouse"), "x")
+    assert tables.shared_folder(session("yarn", "hdfs://n/w"), "x").startswith("hdfs://n/w/wordloom/x-")
+    assert tables.shared_folder(session("local[2]", "file:/w"), "x").startswith("file:/w/wordloom/x-")
+
+
+def test_length_stats_of_stored_words_by_file(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "a.txt").write_text("aa bb cc dd ee ff\n" * 30)
+    (raw / "b.gz").write_bytes(gzip.compress(b"dd eee\n" * 30))
+    (raw / "c.txt").write_text("\n")
+    run, job = tmp_path / "run", tmp_path / "job"
+    w.run_pipeline(spark, str(raw), str(run), by_file=True, sorted_words=True)
+    stages.clean_text(spark, str(raw), str(job / "words"), by_file=True)
+    expected = ["2\tcount=210, avg_per_partition=105.00", "3\tcount=30, avg_per_partition=30.00"]
+    assert content(run / "stage3_wordlength") == expected
+    for k, words in enumerate((run / "stage1_cleaned", job / "words")):
+        stages.stored_length_stats(spark, str(words), str(job / f"lengths{k}"))
+        assert content(job / f"lengths{k}") == expected
+        # The other jobs read such a directory as they read any other.
+        stages.count_words(spark, str(words), str(job / f"counts{k}"))
+        assert sorted(content(job / f"counts{k}")) == sorted(content(run / "stage2_wordcount"))
 
 
 def test_the_average_is_per_raw_file(spark, tmp_path):

@@ -15,10 +15,11 @@ from wordloom.operators.counting import word_counts
 from wordloom.operators.lengths import length_stats
 from wordloom.operators.letters import letter_counts, letters_with_total
 from wordloom.operators.ranking import top_words
-from wordloom.session import settings_for
+from wordloom.session import own_session, settings_for, words_in_files
 from wordloom.sinks import tables, text
 from wordloom.sources import words as readers
 from wordloom.sources.lines import read_lines, spread
+from wordloom.sources.manifest import list_files
 
 
 def clean_text(
@@ -27,27 +28,32 @@ def clean_text(
     output: str,
     min_length: int = fixed.MIN_WORD_LENGTH,
     partitions: int | None = None,
+    by_file: bool = False,
 ) -> None:
     """Raw lines to one ``word<TAB>`` line per occurrence.
 
-    ``partitions`` deals the raw lines over that many tasks first.
+    ``partitions`` deals the raw lines over that many tasks first. ``by_file``
+    writes a folder for each raw file, named by the hash of its path, so that
+    ``stored_length_stats`` knows which file a word is from.
     """
+    spark = own_session(spark)
     with settings_for(spark):
-        lines = spread(read_lines(spark, raw).select("line"), partitions)
-        text.write_lines(text.word_lines(clean_words(lines, min_length)), output)
+        kept = ["part"] if by_file else []
+        lines = spread(read_lines(spark, raw).select("line", *kept), partitions)
+        words = clean_words(lines, min_length)
+        text.write_lines(text.word_lines(words, kept=kept), output, folders=kept)
 
 
-def _stored_words(spark: SparkSession, words: str) -> tuple[DataFrame, int]:
-    """Words of a stage-1 directory and the number of its lines."""
-    lines = read_lines(spark, words).select("line")
-    return readers.first_words(lines), lines.count()
+def _stored_words(spark: SparkSession, words: str) -> DataFrame:
+    """Words of a stage-1 directory."""
+    return readers.first_words(read_lines(spark, words).select("line"))
 
 
 def count_words(spark: SparkSession, words: str, output: str) -> None:
-    """Word lines to ``word<TAB>count``."""
-    bag, occurrences = _stored_words(spark, words)
-    with settings_for(spark, occurrences):
-        text.write_lines(text.count_lines(word_counts(bag)), output)
+    """Word lines to ``word<TAB>count``. The words are read once."""
+    spark = own_session(spark)
+    with settings_for(spark, words_in_files(list_files(spark, words))):
+        text.write_lines(text.count_lines(word_counts(_stored_words(spark, words))), output)
 
 
 def word_length_stats(
@@ -59,21 +65,29 @@ def word_length_stats(
 ) -> None:
     """Raw lines to length statistics; the partitions are the raw files.
 
-    From the raw lines, because word lines no longer tell which file a word is
-    from: how they lie in part files depends on how the work was split. The
-    shuffle has a row per file and length.
+    From the raw lines: word lines tell which file a word is from only if they
+    were written with ``by_file``. The shuffle has a row per file and length.
     """
+    spark = own_session(spark)
     with settings_for(spark):
         lines = spread(read_lines(spark, raw).select("line", "part"), partitions)
         stats = length_stats(clean_words(lines, min_length), "part")
         text.write_lines(text.length_lines(stats), output)
 
 
+def stored_length_stats(spark: SparkSession, words: str, output: str) -> None:
+    """Word lines that were written with ``by_file`` to length statistics."""
+    spark = own_session(spark)
+    lines = spark.read.schema("value string, part bigint").text(words)
+    bag = readers.first_words(lines.withColumnRenamed("value", "line"))
+    text.write_lines(text.length_lines(length_stats(bag, "part")), output)
+
+
 def alphabet_distribution(spark: SparkSession, words: str, output: str) -> None:
-    """Word lines to letter counts and their total."""
-    bag, occurrences = _stored_words(spark, words)
-    with settings_for(spark, occurrences):
-        letters = letter_counts(word_counts(bag))
+    """Word lines to letter counts and their total. The words are read once."""
+    spark = own_session(spark)
+    with settings_for(spark, words_in_files(list_files(spark, words))):
+        letters = letter_counts(word_counts(_stored_words(spark, words)))
         text.write_lines(text.letter_lines(letters_with_total(letters)), output)
 
 
@@ -107,11 +121,12 @@ def final_analysis(
     min_count: int = fixed.MIN_COUNT,
 ) -> None:
     """Word counts and top words to final rows and a summary; see ``stored_ranking``."""
+    spark = own_session(spark)
     count_lines = read_lines(spark, counts).select("line")
     work = tables.work_path(spark, output)
     try:
-        # Each line has one of the words that the counts are shuffled by.
-        with settings_for(spark, count_lines.count()):
+        # A line has one of the words that the counts are shuffled by.
+        with settings_for(spark, words_in_files(list_files(spark, counts))):
             ranking = stored_ranking(
                 count_lines, read_lines(spark, top).select("line"), min_count
             )

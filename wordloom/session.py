@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SPLIT_BYTES = 1 << 30
 WORDS_PER_SHUFFLE_PARTITION = 600_000_000
+LINE_BYTES_PER_WORD = 7  # of text; names of compressed files count for more
+COMPRESSED = (".gz", ".bz2", ".zst", ".deflate", ".lz4", ".snappy")
+COMPRESSION = 4
 _SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 _CASE_MAPPINGS = "spark.sql.icu.caseMappings.enabled"
 
@@ -41,6 +46,30 @@ def shuffle_partitions(words: int, at_least: int) -> int:
     return max(at_least, -(-words // WORDS_PER_SHUFFLE_PARTITION))
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session on the same cluster whose settings begin as those of ``spark``.
+
+    A run that changes settings does so in a session of its own, so runs and
+    queries of one application do not disturb each other.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
+
+
+def words_in_files(files: DataFrame) -> int:
+    """About how many words the files of ``list_files`` hold, from names and sizes alone.
+
+    For the size of a shuffle only: a guess that is too high costs nothing much,
+    since adaptive execution joins small partitions.
+    """
+    packed = F.lower("file").rlike("(" + "|".join(map(re.escape, COMPRESSED)) + r")\z")
+    size = F.col("bytes") * F.when(packed, COMPRESSION).otherwise(1)
+    return files.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0] // LINE_BYTES_PER_WORD
+
+
 @contextmanager
 def settings_for(spark: SparkSession, words: int | None = None) -> Iterator[None]:
     """Java's lower-casing and, if ``words`` is given, shuffles that fit, for one run.

@@ -6,24 +6,29 @@ writes such rows. Existing output is replaced.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom import fixed_values as fixed
 
 
-def _lines(df: DataFrame, key, value) -> DataFrame:
-    return df.select(key.cast("string").alias("key"), value.cast("string").alias("value"))
+def _lines(df: DataFrame, key, value, kept: Sequence[str] = ()) -> DataFrame:
+    return df.select(key.cast("string").alias("key"), value.cast("string").alias("value"), *kept)
 
 
-def word_lines(words: DataFrame, ordered: bool = False) -> DataFrame:
+def word_lines(
+    words: DataFrame, ordered: bool = False, kept: Sequence[str] = ()
+) -> DataFrame:
     """Word occurrences; the value is empty, so a line ends with a TAB.
 
-    If ``ordered``, sorted by word within each part file.
+    If ``ordered``, sorted by word within each part file. ``kept`` names columns
+    that stay, for folders.
     """
     if ordered:
-        words = words.sortWithinPartitions("word")
-    return _lines(words, F.col("word"), F.lit(""))
+        words = words.sortWithinPartitions(*kept, "word")
+    return _lines(words, F.col("word"), F.lit(""), kept)
 
 
 def count_lines(counts: DataFrame) -> DataFrame:
@@ -79,10 +84,16 @@ def final_lines(ranking: DataFrame, summary: DataFrame) -> DataFrame:
     return ranking_lines(ranking).unionByName(summary_lines(summary))
 
 
-def write_lines(lines: DataFrame, path: str, compression: str = "none") -> None:
-    """Write ``key<TAB>value`` lines."""
-    joined = lines.select(F.concat_ws("\t", "key", "value").alias("value"))
-    joined.write.mode("overwrite").option("compression", compression).text(path)
+def write_lines(
+    lines: DataFrame, path: str, compression: str = "none", folders: Sequence[str] | None = None
+) -> None:
+    """Write ``key<TAB>value`` lines, in a folder for each value of the columns ``folders``."""
+    folders = list(folders or ())
+    joined = lines.select(F.concat_ws("\t", "key", "value").alias("value"), *folders)
+    write = joined.write.mode("overwrite").option("compression", compression)
+    if folders:
+        write = write.partitionBy(*folders)
+    write.text(path)
 
 
 def word_count_rows(counts: DataFrame) -> DataFrame:
