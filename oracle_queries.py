@@ -200,6 +200,21 @@ GROUP BY 1 HAVING {_NAME.format('url')} <> ''
 _NAMED_FILES = f"SELECT {_NAME.format('file')} AS name, file FROM ({_FILES})"
 
 
+# The lines of every text table with the name of the raw file they are written to.
+RAW_LINES = " UNION ALL ".join(
+    f"""SELECT '{name}-' || ({key} // {rows}) AS source,
+       unnest(regexp_split_to_array({column}, {_SPLIT})) AS line FROM {name}"""
+    for name, key, column, rows in (
+        ("documents", "doc_id", "text", 2000), ("pages", "page_id", "html", 500),
+        ("conversations", "conv_id", "text", 5000), ("benchmark", "item_id", "text", 100))
+)
+
+
+def over_files(statement: str) -> str:
+    """A statement over the raw files instead of the lines of the documents."""
+    return statement.replace(DOCUMENT_LINES, RAW_LINES)
+
+
 def per_line(expression: str) -> str:
     return f"SELECT page_id, {expression} AS line FROM ({CRAWL_LINES})"
 
@@ -310,3 +325,41 @@ SELECT kind, letter, cnt FROM (
     SELECT *, row_number() OVER (PARTITION BY kind ORDER BY cnt DESC, letter) AS r
     FROM ({LETTERS})) WHERE r = 1""",
 }
+
+# Of results over documents, and of whole runs over raw files.
+_STAGES = {
+    "stage1_cleaned": "word_lines_text",
+    "stage2_wordcount": "count_lines_text",
+    "stage3_wordlength": "length_stats_text",
+    "stage4_alphabet": "letters_text",
+    "stage5_topn": "top_lines_text",
+    "stage6_final": "final_ranking_text",
+}
+_WHOLE_RUN = " UNION ALL ".join(
+    f"SELECT '{stage}' AS stage, key, value, {'n' if name == 'word_lines_text' else '1::BIGINT'} AS n "
+    f"FROM ({ORACLE[name]})"
+    for stage, name in [*_STAGES.items(), ("stage6_final", "final_summary_text")]
+)
+
+ORACLE |= {
+    "all_ranks": f"""
+SELECT row_number() OVER (ORDER BY cnt DESC, word) AS rank, word, cnt FROM ({counts(ALL_LINES)})""",
+    "all_stages": over_files(_WHOLE_RUN),
+    "part_order": f"""
+SELECT stage, sum(n)::BIGINT AS n_lines, 0::BIGINT AS inversions FROM ({over_files(_WHOLE_RUN)})
+WHERE stage IN ('stage1_cleaned', 'stage2_wordcount', 'stage6_final') GROUP BY stage""",
+    "file_length_stats": f"""
+SELECT made, key, value FROM ({over_files(ORACLE["length_stats_text"])})
+CROSS JOIN (VALUES ('of_raw'), ('of_words')) AS ways(made)""",
+    "file_line_counts": f"""
+WITH raw AS ({RAW_LINES}),
+content AS (SELECT source, count(*) AS n FROM ({content("SELECT * FROM raw")}) GROUP BY source),
+words AS (SELECT source, count(*) AS n FROM ({bag("SELECT * FROM raw", "source,")}) GROUP BY source)
+SELECT r.source AS raw_file, r.n AS n_lines, coalesce(c.n, 0) AS n_content,
+       coalesce(w.n, 0) AS n_words
+FROM (SELECT source, count(*) AS n FROM raw GROUP BY source) r
+     LEFT JOIN content c USING (source) LEFT JOIN words w USING (source)""",
+    "manifest_lines": f"""
+SELECT row_number() OVER (ORDER BY page_id) - 1 AS file_id, trim(url, {_BLANKS}) AS path
+FROM pages WHERE trim(url, {_BLANKS}) <> ''""",
+}

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordloom import fixed_values as fixed
@@ -24,6 +24,9 @@ from wordloom.operators import (
     reports,
 )
 from wordloom.plans import stages
+from wordloom.plans.pipeline import run_pipeline
+from wordloom.session import own_session
+from wordloom.sinks import tables
 from wordloom.sinks import text as rendered
 from wordloom.sources import lines, manifest, words
 
@@ -102,6 +105,35 @@ def all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.split_lines(first)
 
 
+# Rows of a table whose lines make one raw file.
+ROWS_PER_FILE = {"documents": 2000, "pages": 500, "conversations": 5000, "benchmark": 100}
+KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id",
+        "benchmark": "item_id"}
+PACKED = ("pages", "benchmark")  # their files are compressed
+
+
+def raw_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """The lines of every text table as raw files, plain and gzip; returns ``folder``.
+
+    A file has the lines of a range of rows and lies in a folder ``raw_file=…``
+    that names it, since Spark chooses the names of the files themselves.
+    """
+    for name, rows in ROWS_PER_FILE.items():
+        column = "html" if name == "pages" else "text"
+        of = F.concat_ws("-", F.lit(name), F.expr(f"{KEYS[name]} div {rows}").cast("string"))
+        texts = table(spark, sf_dir, name, of.alias("raw_file"), F.col(column).alias("text"))
+        split = lines.split_lines(texts).select("raw_file", "line").repartition("raw_file")
+        codec = "gzip" if name in PACKED else "none"
+        split.write.partitionBy("raw_file").mode("append").option("compression", codec).text(folder)
+    return folder
+
+
+def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """``raw_file, line, part`` of such a folder."""
+    name = F.regexp_extract("file", "raw_file=([^/]+)/", 1)
+    return lines.read_lines(spark, folder).select(name.alias("raw_file"), "line", "part")
+
+
 def document_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.word_counts(cleaning.clean_words(document_lines(spark, sf_dir)))
 
@@ -232,6 +264,11 @@ def top_20_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.top_words(document_counts(spark, sf_dir), 20)
 
 
+def all_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = counting.word_counts(cleaning.clean_words(all_lines(spark, sf_dir)))
+    return ranking.ranked_words(counts, tables.shared_folder(spark, "ranks"))
+
+
 def stop_word_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis.without_stop_words(document_counts(spark, sf_dir))
 
@@ -304,6 +341,75 @@ def final_summary_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendered.summary_lines(final_summary(spark, sf_dir))
 
 
+# --- files and whole runs ----------------------------------------------------
+
+
+def file_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, lines that are neither blank nor headers, and words of every raw file."""
+    read = raw_lines(spark, raw_files(spark, sf_dir, tables.shared_folder(spark, "raw")))
+    content = text.is_content_line("line").cast("int")
+    by_file = read.groupBy("raw_file").agg(
+        F.count("*").alias("n_lines"), F.sum(content).alias("n_content"))
+    words_of = cleaning.clean_words(read.select("raw_file", "line"))
+    n_words = words_of.groupBy("raw_file").agg(F.count("*").alias("n_words"))
+    return by_file.join(n_words, "raw_file", "left").na.fill(0, "n_words")
+
+
+def file_length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length statistics by raw file, made from the raw files and from stage-1 text alone."""
+    base = tables.shared_folder(spark, "lengths")
+    raw = raw_files(spark, sf_dir, f"{base}/raw")
+    stages.clean_text(spark, raw, f"{base}/words", by_file=True)
+    stages.word_length_stats(spark, raw, f"{base}/of_raw")
+    stages.stored_length_stats(spark, f"{base}/words", f"{base}/of_words")
+    parts = [
+        _stored_pairs(spark, f"{base}/{way}").select(F.lit(way).alias("made"), "key", "value")
+        for way in ("of_raw", "of_words")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def _stored_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    fields = F.split("line", "\t", 2)
+    return lines.read_lines(spark, folder).select(
+        fields[0].alias("key"), fields[1].alias("value"))
+
+
+def all_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six text outputs of a whole run over raw files, and how often each line is there."""
+    base = tables.shared_folder(spark, "run")
+    raw = raw_files(spark, sf_dir, f"{base}/raw")
+    found = [
+        _stored_pairs(spark, path).groupBy("key", "value").agg(F.count("*").alias("n"))
+        .select(F.lit(stage).alias("stage"), "key", "value", "n")
+        for stage, path in run_pipeline(spark, raw, f"{base}/out").items()
+    ]
+    first, *rest = found
+    for df in rest:
+        first = first.unionByName(df)
+    return first
+
+
+def part_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the sorted outputs, and neighbours in a part file that are out of order."""
+    base = tables.shared_folder(spark, "run")
+    raw = raw_files(spark, sf_dir, f"{base}/raw")
+    paths = run_pipeline(spark, raw, f"{base}/out", sorted_words=True)
+    found = []
+    for stage in (fixed.STAGE_DIRS[k] for k in (0, 1, 5)):
+        at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+        placed = spark.read.text(paths[stage]).select(
+            F.split("value", "\t", 2)[0].alias("key"), at.alias("at"),
+            F.col("_metadata.file_path").alias("file"))
+        before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+        found.append(placed.select(F.lit(stage).alias("stage"), (before > F.col("key")).alias("wrong")))
+    first, *rest = found
+    for df in rest:
+        first = first.unionByName(df)
+    wrong = F.coalesce(F.col("wrong").cast("int"), F.lit(0))
+    return first.groupBy("stage").agg(F.count("*").alias("n_lines"), F.sum(wrong).alias("inversions"))
+
+
 # --- manifests and inputs ----------------------------------------------------
 
 
@@ -328,6 +434,18 @@ def manifest_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.sample_manifest(_manifest(spark, sf_dir)).toDF("page_id", "url")
 
 
+def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest of several files, with blank lines, numbered over many splits."""
+    folder = tables.shared_folder(spark, "manifest")
+    paths = table(spark, sf_dir, "pages", "page_id", "url").orderBy("page_id")
+    blank = F.when(F.col("page_id") % 3 == 0, F.array(F.lit(" "), F.col("url"), F.lit("")))
+    rows = F.explode(F.coalesce(blank, F.array(F.concat(F.lit(" "), "url", F.lit("\t")))))
+    paths.select(rows.alias("value")).write.text(folder)
+    small = own_session(spark)
+    small.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    return manifest.read_manifest(small, folder)
+
+
 def manifest_file_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.with_file_ids(_files(spark, sf_dir), _manifest(spark, sf_dir))
 
@@ -382,6 +500,7 @@ QUERIES: dict[str, Query] = {
     "top_n_words": top_n_words,
     "top_20_words": top_20_words,
     "top_100_words": top_100_words,
+    "all_ranks": all_ranks,
     "stop_word_filter": stop_word_filter,
     "word_categories": word_categories,
     "final_ranking": document_ranking,
@@ -399,6 +518,11 @@ QUERIES: dict[str, Query] = {
     "letters_text": letters_text,
     "final_ranking_text": final_ranking_text,
     "final_summary_text": final_summary_text,
+    "file_line_counts": file_line_counts,
+    "file_length_stats": file_length_stats,
+    "all_stages": all_stages,
+    "part_order": part_order,
+    "manifest_lines": manifest_lines,
     "manifest_sample": manifest_sample,
     "manifest_file_ids": manifest_file_ids,
     "manifest_unmatched": manifest_unmatched,

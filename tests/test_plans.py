@@ -67,3 +67,24 @@ def test_a_large_top_list_is_not_broadcast(spark):
     counts = spark.range(2_000_000).selectExpr("cast(id as string) as word", "id as cnt")
     plan = final_ranking(counts, counts)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+
+
+def test_ranks_of_all_words_bring_only_sizes_together(spark, tmp_path):
+    """No task has the words of all others: what is numbered in one place are the ranges."""
+    from wordloom.operators.ranking import ranked_words
+
+    counts = spark.range(300_000).selectExpr(
+        "cast(id as string) as word", "if(id < 5, 100 - id, 1) as cnt")
+    ranked = ranked_words(counts, str(tmp_path / "ranks"))
+    plan = final_plan(ranked)
+    words = [line for line in plan.splitlines() if "Exchange SinglePartition" in line]
+    assert len(words) == 1 and "n#" in plan and "CartesianProduct" not in plan
+    from pyspark.sql import functions as F
+
+    # One count for nearly all words, and still every range has its share of them.
+    placed = spark.read.parquet(str(tmp_path / "ranks"))
+    sizes = [r["count"] for r in placed.groupBy(F.shiftright("place", 33)).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * 300_000 / 8
+    wanted = sorted(((-c, w) for w, c in counts.collect()))
+    found = sorted((r["rank"], -r["cnt"], r["word"]) for r in ranked.collect())
+    assert found == [(k, c, w) for k, (c, w) in enumerate(wanted, 1)]
