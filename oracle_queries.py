@@ -100,6 +100,7 @@ FROM (SELECT source, length(word)::INTEGER AS length, count(*) AS n
 GROUP BY length
 """
 
+# The kinds of letter counts, here and in the total.
 LETTERS = f"""
 SELECT kind, letter, sum(cnt)::BIGINT AS cnt FROM (
     SELECT 'FIRST' AS kind, substr(word, 1, 1) AS letter, cnt FROM ({COUNTS})
@@ -124,6 +125,7 @@ FROM (SELECT * FROM ({COUNTS}) ORDER BY cnt DESC, word LIMIT {n})
 """
 
 
+# Names and bounds of the categories.
 CATEGORIES = f"""
 SELECT word, cnt, length(word)::INTEGER AS length,
        CASE WHEN length(word) <= 3 THEN 'SHORT' WHEN length(word) <= 7 THEN 'MEDIUM'
@@ -277,6 +279,7 @@ SELECT word AS key, cnt::VARCHAR AS value FROM ({top(1000)}) ORDER BY rank""",
     "word_count_csv": f"SELECT word || ',' || cnt AS line FROM ({COUNTS})",
     "top_words_csv": f"""
 SELECT rank || ',' || word || ',' || cnt AS line FROM ({top(1000)}) ORDER BY rank""",
+    # Keys, field names and formats of the rendered lines, here and below.
     "length_stats_text": f"""
 SELECT length::VARCHAR AS key,
        'count=' || cnt || ', avg_per_partition=' || {two_decimals('cnt', 'parts')} AS value
@@ -327,6 +330,7 @@ SELECT kind, letter, cnt FROM (
 }
 
 # Of results over documents, and of whole runs over raw files.
+# Names of the stage directories.
 _STAGES = {
     "stage1_cleaned": "word_lines_text",
     "stage2_wordcount": "count_lines_text",
