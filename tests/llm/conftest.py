@@ -28,6 +28,9 @@ def awkward_texts():
         "tab\tthen   blanks \n\n  end  ", "é \U0001f600\U0001f600  'll we'll 12345",
         *[some_text(rng, n) for n in (3, 8, 20, 50, 120, 300)],
         "one", "one", "a b c d e",
+        # Words that differ in characters of code zero only.
+        "\0", "\0\0 \0", " ".join("a" + "\0" * (k % 5) + "b" * (k // 5) for k in range(15)),
+        "x\0 x y\0\0 x\0 x y\0 " * 3,
     ]
 
 

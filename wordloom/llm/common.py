@@ -107,7 +107,8 @@ def _chunk_words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     powers, inverses = _power_tables()
     sums = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(codes * powers[: len(codes)], out=sums[1:])
+    # Byte plus one: a byte of zero adds its power too.
+    np.cumsum((codes + np.uint64(1)) * powers[: len(codes)], out=sums[1:])
     return mixed((sums[ends] - sums[starts]) * inverses[starts]), starts, ends
 
 
@@ -115,8 +116,9 @@ def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """64-bit hash, first byte and end of every word of a text, in order.
 
     Words are runs of bytes other than BLANKS. The hash of a word is its
-    polynomial in an odd base modulo 2**64, made by one cumulative sum over the
-    text, then mixed. Long texts are taken in chunks that end at a blank, so
+    polynomial in an odd base modulo 2**64, its coefficients the bytes plus one,
+    made by one cumulative sum over the text, then mixed. Callers take words of
+    equal hashes as equal. Long texts are taken in chunks that end at a blank, so
     memory does not grow with the text beyond what is returned.
     """
     found, at = [], 0
