@@ -4,17 +4,18 @@ A fingerprint retains every hash of a five-word shingle that lies below a fixed
 fraction of the hash range. Whatever the sizes of two texts, the same hashes
 survive in both, so shared and own shingles can be estimated from the retained
 ones, containment of a short text in a long one included; and the fingerprint
-of a union is the union of the fingerprints. Short texts, of which few hashes or
-none might survive, keep the others too, apart: two short texts are compared
-without an estimate.
+of a union is the union of the fingerprints. The fraction is the same for all
+texts. Of m shingles about m / 2 are retained, so the error of an estimate
+falls with the square root of the smaller number of shingles.
 
-As a string: 16 hex digits of the text's own hash, a colon, and 16 hex digits
-for each retained shingle hash, ascending; for a short text then a plus sign and
-the hashes above the fraction, ascending.
+A shingle's hash has 40 bits. As a string: 16 hex digits of the text's own hash,
+a colon, and in base 64 five bytes for each retained shingle hash, ascending.
 """
 
 from __future__ import annotations
 
+import base64
+import bisect
 import hashlib
 from collections.abc import Iterator
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from wordloom.llm.common import id_and_text, shingles, shuffle_partitions, words_of
 
 FRACTION = 1 / 2  # of all shingle hashes that are retained
-SHORT = 256  # shingles; texts of no more keep the rest of their hashes as well
+HASH_BITS = 40
 NO_ID = -(1 << 63)  # where rows without an id are placed: first
 
 COMPARED = (
@@ -39,34 +40,23 @@ COMPARED = (
 
 def fingerprint(text: str | None, fraction: float = FRACTION) -> str:
     data = (text or "").encode()
-    hashes = np.unique(shingles(words_of(data)[0]))
-    cut = int(np.searchsorted(hashes, np.uint64(int(fraction * 2**64) - 1)))
-    rest = f"+{_hex(hashes[cut:])}" if len(hashes) <= SHORT else ""
-    return f"{xxhash.xxh3_64_intdigest(data):016x}:{_hex(hashes[:cut])}{rest}"
+    hashes = np.unique(shingles(words_of(data)[0]) >> np.uint64(64 - HASH_BITS))
+    below = hashes[: np.searchsorted(hashes, np.uint64(fraction * 2**HASH_BITS))]
+    return f"{xxhash.xxh3_64_intdigest(data):016x}:{_coded(below)}"
 
 
-def _hex(hashes: np.ndarray) -> str:
-    return hashes.astype(">u8").tobytes().hex()
-
-
-def _numbers(digits: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(digits), ">u8")
+def _coded(hashes: np.ndarray) -> str:
+    rows = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - HASH_BITS // 8 :]
+    return base64.b64encode(rows.tobytes()).decode()
 
 
 def retained(mark: str) -> np.ndarray:
-    """The shingle hashes below the fraction in a fingerprint, ascending."""
-    return _numbers(mark.partition(":")[2].partition("+")[0])
-
-
-def _is_short(mark: str) -> bool:
-    return "+" in mark
-
-
-def _comparable(mark: str, other: str) -> tuple[np.ndarray, np.ndarray]:
-    """All hashes of two short texts, else those that both would have retained."""
-    if _is_short(mark) and _is_short(other):
-        return tuple(_numbers(m.partition(":")[2].replace("+", "")) for m in (mark, other))
-    return retained(mark), retained(other)
+    """The retained shingle hashes of a fingerprint, ascending."""
+    data = np.frombuffer(base64.b64decode(mark.partition(":")[2]), np.uint8)
+    rows = data.reshape(-1, HASH_BITS // 8)
+    wide = np.zeros((len(rows), 8), np.uint8)
+    wide[:, 8 - HASH_BITS // 8 :] = rows
+    return wide.view(">u8").ravel().astype(np.uint64)
 
 
 def _shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -74,37 +64,29 @@ def _shared(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def likeness(mark: str, other: str) -> float:
-    """Share of common shingles among all shingles of both texts.
+    """Estimated share of common shingles among all shingles of both texts.
 
-    Exact for two short texts, else estimated. 1 for equal fingerprints. Where
-    neither text retained a hash the texts' own hashes decide: 1 if equal, else 0.
+    1 for equal fingerprints. Where neither text retained a hash the texts' own
+    hashes decide: 1 if equal, else 0.
     """
     if mark == other:
         return 1.0
-    a, b = _comparable(mark, other)
+    a, b = retained(mark), retained(other)
     both = _shared(a, b)
     return both / (len(a) + len(b) - both) if len(a) + len(b) else 0.0
 
 
 def containment(mark: str, other: str) -> float:
-    """Share of the first text's shingles that the other text has; exact for short texts."""
-    a, b = _comparable(mark, other)
+    """Estimated share of the first text's shingles that the other text has."""
+    a, b = retained(mark), retained(other)
     return _shared(a, b) / len(a) if len(a) else float(mark == other)
 
 
 def merged(marks: list[str]) -> str:
-    """Fingerprint of the texts' shingles together; its own hash is that of the marks.
-
-    The hashes above the fraction are kept where all texts and their union are short.
-    """
-    hashes = np.unique(np.concatenate([retained(m) for m in marks] or [np.empty(0, ">u8")]))
+    """Fingerprint of the texts' shingles together; its own hash is that of the marks."""
+    hashes = np.unique(np.concatenate([retained(m) for m in marks] or [np.empty(0, np.uint64)]))
     own = xxhash.xxh3_64_intdigest("".join(sorted({m.partition(":")[0] for m in marks})))
-    rest = ""
-    if marks and all(map(_is_short, marks)):
-        above = np.unique(np.concatenate([_numbers(m.partition("+")[2]) for m in marks]))
-        if len(hashes) + len(above) <= SHORT:
-            rest = f"+{_hex(above)}"
-    return f"{own:016x}:{_hex(hashes)}{rest}"
+    return f"{own:016x}:{_coded(hashes)}"
 
 
 def fingerprint_column(text: Column) -> Column:
@@ -117,47 +99,52 @@ def fingerprint_column(text: Column) -> Column:
     return F.pandas_udf(marks, "string")(text)
 
 
-def range_starts(rows: DataFrame, partitions: int) -> list[int]:
-    """The first ``place`` of each range when rows are cut evenly by ``place``.
+def range_starts(rows: DataFrame, partitions: int) -> list[tuple[int, int]]:
+    """The first ``place, tie`` of each range when rows are cut evenly by both.
 
-    Reads that one column. The list has at most ``partitions`` numbers.
+    Reads those columns. The list has at most ``partitions`` pairs.
     """
-    ranged = rows.select("place").repartitionByRange(partitions, "place")
-    starts = ranged.groupBy(F.spark_partition_id().alias("part")).agg(F.min("place").alias("first"))
-    return sorted(r["first"] for r in starts.select("first").distinct().collect())
+    ranged = rows.select("place", "tie").repartitionByRange(partitions, "place", "tie")
+    starts = ranged.groupBy(F.spark_partition_id().alias("part")).agg(
+        F.min(F.struct("place", "tie")).alias("first"))
+    return sorted((r["first"]["place"], r["first"]["tie"])
+                  for r in starts.select("first").distinct().collect())
 
 
 def with_next(rows: DataFrame, compare, schema: str) -> DataFrame:
     """``compare`` over (doc_id, text, next text) of all rows in ascending id order.
 
-    Every range of ids is one partition, sorted; the first document of the
-    following range is also sent to its end, so that each document meets its
-    successor and every text is shuffled once. After the last comes the first.
+    Every range of ids, and within an id of the texts' hashes, is one partition,
+    sorted; the first document of the following range is also sent to its end, so
+    that each document meets its successor and every text is shuffled once. After
+    the last comes the first.
     """
-    rows = rows.withColumn("place", F.coalesce("doc_id", F.lit(NO_ID)))
-    starts = np.array(range_starts(rows, shuffle_partitions(rows.sparkSession)), np.int64)
+    rows = rows.withColumn("place", F.coalesce("doc_id", F.lit(NO_ID))).withColumn(
+        "tie", F.xxhash64("text"))
+    starts = range_starts(rows, shuffle_partitions(rows.sparkSession))
     parts = max(1, len(starts))
 
-    def parts_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for places in batches:
-            part = np.searchsorted(starts, places.to_numpy(), side="right") - 1
-            first = starts[part] == places.to_numpy()
-            yield pd.Series([[p, p - parts if p == 0 else -p] if f else [p]
-                             for p, f in zip(part.tolist(), first.tolist(), strict=True)])
+    def parts_of(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for places, ties in batches:
+            targets = []
+            for at in zip(places.tolist(), ties.tolist(), strict=True):
+                p = bisect.bisect_right(starts, at) - 1
+                targets.append([p] if starts[p] != at else [p, p - parts if p == 0 else -p])
+            yield pd.Series(targets)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return compare(_pairs(batches))
 
     # An entry p >= 0 is the row's own range; -p says that it also ends range p - 1.
-    targets = F.pandas_udf(parts_of, "array<bigint>")("place")
+    targets = F.pandas_udf(parts_of, "array<bigint>")("place", "tie")
     sent = rows.withColumn("target", F.explode(targets))
     own = F.col("target") >= 0
     sent = sent.withColumn("own", own).withColumn(
         "part", F.when(own, F.col("target")).otherwise(-F.col("target") - 1).cast("int")
     )
-    order = [F.col("own").desc(), "place", F.xxhash64("text"), "text"]
+    order = [F.col("own").desc(), "place", "tie", "text"]
     return (
-        sent.select("doc_id", "text", "place", "own", "part")
+        sent.select("doc_id", "text", "place", "tie", "own", "part")
         .repartitionById(parts, "part")
         .sortWithinPartitions(*order)
         .select("doc_id", "text", "own")
