@@ -123,3 +123,64 @@ def test_a_repeated_id_is_learnt_from_once(spark, real, real_sf):
         docs.where(docs["doc_id"] != hot).unionByName(least), labels)
     assert found.features.tolist() == expected.features.tolist()
     assert found.weights.tolist() == expected.weights.tolist() and found.bias == expected.bias
+
+
+@pytest.mark.parametrize("block", [1, 1 << 21])
+def test_the_streamed_fit_is_the_fit_of_all_features(spark, monkeypatch, block):
+    """Counted and filtered in Spark, in blocks of any size, with repeated rows: the same weights."""
+    monkeypatch.setattr(ftrl, "COUNT_BLOCK", block)
+    rng = np.random.default_rng(9)
+    rows = [np.unique(rng.zipf(1.3, 12) % 700 - 350) for _ in range(400)]
+    labels = [int(3 in r or -7 in r) for r in rows]
+    sample = [(i, 1000 - i, y, ftrl.packed([r])[0].as_py())
+              for i, (r, y) in enumerate(zip(rows, labels))]
+    df = spark.createDataFrame(sample + sample[:50], "doc_id long, turn long, label int, features binary")
+    for l1 in (0.5, 6.0):
+        found = ftrl.sparse_fit(df, l1)
+        wanted = ftrl.fit_keys(rows[::-1], np.array(labels[::-1], float), l1)
+        assert found.features.tolist() == wanted.features.tolist()
+        assert found.weights.tolist() == wanted.weights.tolist() and found.bias == wanted.bias
+    none = ftrl.sparse_fit(df.limit(0))
+    assert len(none.features) == 0 and none.bias == ftrl.NEVER
+
+
+def test_scores_against_a_plain_model(spark, real, real_sf):
+    """Features, fit and scores without hashes of numpy: words, pairs and skip pairs as text."""
+    import re
+
+    labels = spark.read.parquet(f"{real_sf}/labels.parquet")
+    found = {r.doc_id: r for r in toxicity.scored(real, labels).collect()}
+    texts = {r.doc_id: r.text for r in real.collect()}
+
+    def named(text):
+        words = re.findall(r"[a-z0-9\u0080-\U0010ffff]+", "".join(
+            chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
+        return sorted({*words, *(f"{a} {b}" for a, b in zip(words, words[1:])),
+                       *(f"{a} _ {b}" for a, b in zip(words, words[2:]))})
+
+    known = {}
+    for r in labels.collect():
+        if r.doc_id in texts and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            known[r.doc_id] = max(r.toxic, known.get(r.doc_id, 0))
+    ids = spark.createDataFrame([(i,) for i in known], "doc_id long")
+    order = [r.doc_id for r in ftrl.labelled_sample(labels, ids, "toxic", "doc_id", 10**6)
+             .orderBy("turn", "doc_id").collect()]
+    z, n = {}, {}
+
+    def weight(i):
+        l1 = 0.0 if i is None else ftrl.L1
+        shrunk = max(abs(z.get(i, 0.0)) - l1, 0.0) * np.sign(z.get(i, 0.0))
+        return -shrunk / ((ftrl.BETA + n.get(i, 0.0) ** 0.5) / ftrl.ALPHA + ftrl.L2)
+
+    features = {i: [*named(t), None] for i, t in texts.items()}
+    for _ in range(ftrl.EPOCHS):
+        for i in order:
+            w = {f: weight(f) for f in features[i]}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - known[i]
+            for f in features[i]:
+                old = n.get(f, 0.0)
+                n[f] = old + g * g
+                z[f] = z.get(f, 0.0) + g - (n[f] ** 0.5 - old**0.5) / ftrl.ALPHA * w[f]
+    for i in texts:
+        score = 1 / (1 + np.exp(-sum(map(weight, features[i]))))
+        assert found[i].score == pytest.approx(score, abs=1e-9)

@@ -160,7 +160,7 @@ def cotrain(texts: list[np.ndarray], metadata: np.ndarray, labels: np.ndarray) -
     if len(set(labels[train].tolist())) < 2:
         return None
     pool = np.flatnonzero(labels < 0)
-    keys, texts = ftrl.numbered(texts)
+    keys, texts = ftrl.numbered_rows(texts)
     # Each view learns from the labelled rows and from what the other has labelled.
     for_text, for_metadata = (train, labels[train]), (train, labels[train])
     most = max(1, int(SHARE_PER_ROUND * len(pool)))

@@ -77,29 +77,41 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, size: int, l1: float = L1) -
     return Sparse(kept, final[kept], float(final[size]))
 
 
-def numbered(rows: list[np.ndarray], least: int = 1) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The features that ``least`` rows have, ascending, and the rows as their numbers."""
-    every = np.concatenate(rows) if rows else np.empty(0, np.int64)
-    every.sort()
-    starts = np.flatnonzero(np.diff(every, prepend=every[:1] - 1))
-    keys = every[starts[np.diff(starts, append=len(every)) >= least]]
-    del every, starts
-    found = []
-    for row in rows:
-        place = np.searchsorted(keys, row)
-        known = place < len(keys)
-        known[known] = keys[place[known]] == row[known]
-        found.append(place[known].astype(np.int32))
-    return keys, found
+def numbered(keys: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """A row's features as their places among the ascending ``keys``, without the others."""
+    place = np.searchsorted(keys, row)
+    known = place < len(keys)
+    known[known] = keys[place[known]] == row[known]
+    return place[known].astype(np.int32)
 
 
-def fit_keys(rows: list[np.ndarray], labels: np.ndarray, l1: float = L1) -> Sparse:
-    """``fit`` for rows of distinct 64-bit features.
+def numbered_rows(rows: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """All features of the rows, ascending, and the rows as their places."""
+    keys = np.unique(np.concatenate(rows)) if rows else np.empty(0, np.int64)
+    return keys, [numbered(keys, row) for row in rows]
+
+
+def rows_to_matter(l1: float) -> int:
+    """The least number of rows with a feature that can give it a weight.
 
     A gradient is below one, so a feature in no more than l1 / EPOCHS rows never
     gets past the penalty; leaving such features out changes no weight.
     """
-    keys, rows = numbered(rows, int(l1 // EPOCHS) + 1)
+    return int(l1 // EPOCHS) + 1
+
+
+def fit_keys(rows: list[np.ndarray], labels: np.ndarray, l1: float = L1) -> Sparse:
+    """``fit`` for rows of distinct 64-bit features."""
+    every, counts = np.unique(np.concatenate(rows) if rows else np.empty(0, np.int64),
+                              return_counts=True)
+    keys = every[counts >= rows_to_matter(l1)]
+    return fit_numbered(keys, [numbered(keys, row) for row in rows], labels, l1)
+
+
+def fit_numbered(
+    keys: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, l1: float = L1
+) -> Sparse:
+    """``fit`` for rows of places among ``keys``."""
     found = fit(rows, labels, len(keys), l1)
     return Sparse(keys[found.features], found.weights, found.bias)
 
@@ -168,6 +180,79 @@ def fit_in_one_task(
     )
 
 
+COUNT_BLOCK = 1 << 21  # features a task holds before it counts and passes them on
+
+
+def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features and their number of rows, by block."""
+    held, size = [], 0
+
+    def counts() -> pa.RecordBatch:
+        features, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.record_batch([pa.array(features, pa.int64()), pa.array(n, pa.int64())],
+                               names=["feature", "n"])
+
+    for batch in batches:
+        for row in unpacked(batch.column("features")):
+            held.append(row)
+            size += len(row)
+            if size >= COUNT_BLOCK:
+                yield counts()
+                held, size = [], 0
+    if held:
+        yield counts()
+
+
+def sparse_fit(sample: DataFrame, l1: float = L1) -> Sparse:
+    """``fit_keys`` over a stored sample with doc_id, turn, label and packed features.
+
+    Features are counted in Spark, and only those of enough rows go into the fit.
+    One task makes the fit: it is sent those features first, ascending, then the
+    rows in the order of ``turn``, and keeps of each row the places of its
+    features only. Further rows of an id are passed over; that they were counted
+    leaves some more features in, which get no weight.
+    """
+    counted = sample.mapInArrow(_feature_counts, "feature bigint, n bigint")
+    keys = counted.groupBy("feature").agg(F.sum("n").alias("n")).where(
+        F.col("n") >= rows_to_matter(l1))
+    empty = lambda kind: F.lit(None).cast(kind)
+    first = keys.select("feature", empty("bigint").alias("turn"), empty("bigint").alias("doc_id"),
+                        empty("int").alias("label"), empty("binary").alias("features"))
+    rows = sample.select(empty("bigint").alias("feature"), "turn", "doc_id",
+                         F.col("label").cast("int").alias("label"), "features")
+    is_row = F.col("feature").isNull()
+    stream = first.unionByName(rows).repartition(1).sortWithinPartitions(
+        is_row, "feature", "turn", "doc_id")
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, keys, places, labels, last = [], None, [], [], None
+        for batch in batches:
+            features = batch.column("feature")
+            parts.append(features.drop_null().to_numpy().copy())
+            if features.null_count and keys is None:
+                keys = np.concatenate(parts)
+            for doc_id, label, packed_row in zip(
+                    *(batch.column(c).slice(len(batch) - features.null_count)
+                      for c in ("doc_id", "label", "features")), strict=True):
+                if last != (last := doc_id.as_py()):
+                    row = unpack_numbers(packed_row.as_py()).astype(np.int64)
+                    places.append(numbered(keys, row))
+                    labels.append(label.as_py())
+        if places:
+            found = fit_numbered(keys, places, np.array(labels, np.float64), l1)
+            yield pa.record_batch(
+                [pa.array([found.features.tolist()], pa.list_(pa.int64())),
+                 pa.array([found.weights.tolist()], pa.list_(pa.float64())),
+                 pa.array([found.bias])], names=["features", "weights", "bias"])
+
+    model = stream.mapInArrow(
+        train, "features array<bigint>, weights array<double>, bias double").first()
+    if model is None:
+        return fit_keys([], np.empty(0), l1)
+    return Sparse(np.array(model["features"], np.int64), np.array(model["weights"]),
+                  model["bias"])
+
+
 def packed(batches: list[np.ndarray]) -> pa.Array:
     """Feature lists as compressed binary values."""
     return pa.array([pack_numbers(x.astype(np.uint64)) for x in batches], pa.binary())

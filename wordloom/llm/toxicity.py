@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm import ftrl
-from wordloom.llm.common import mixed, rolling, words_of
+from wordloom.llm.common import mixed, rolling, stored, words_of
 
 MAX_LABELLED = 16_384  # ids learnt from; a bound on the fit, not on what is scored
 TOXIC_AT = 0.3
@@ -52,31 +52,18 @@ def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "toxic") -> f
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in ftrl.least_rows(batches):
             found = ftrl.packed([features(t) for t in batch.column("text").to_pylist()])
-            kept = ["doc_id", "pick", "turn", "label"]
+            kept = ["doc_id", "turn", "label"]
             yield pa.record_batch([*(batch.column(c) for c in kept), found],
                                   names=[*kept, "features"])
 
-    def train(table: pa.Table) -> pa.Table:
-        found = ftrl.fit_keys(list(ftrl.unpacked(table.column("features"))),
-                              table.column("label").to_numpy())
-        return pa.table({
-            "features": pa.array([found.features.tolist()], pa.list_(pa.int64())),
-            "weights": pa.array([found.weights.tolist()], pa.list_(pa.float64())),
-            "bias": pa.array([found.bias], pa.float64()),
-        })
-
-    # The sample has at most MAX_LABELLED rows of three numbers.
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    rows = rows.select("doc_id", ftrl.row_hash("text"), "turn", "label", "text").mapInArrow(
-        extract, "doc_id bigint, pick bigint, turn bigint, label int, features binary"
-    )
-    model = ftrl.fit_in_one_task(
-        rows, train, "features array<bigint>, weights array<double>, bias double"
-    ).first()
-    if model is None:
-        return ftrl.fit_keys([], np.empty(0))
-    return ftrl.Sparse(np.array(model["features"], np.int64), np.array(model["weights"]),
-                       model["bias"])
+    # The sample has at most MAX_LABELLED rows of three numbers, and so has the
+    # list of the row of each id that is learnt from.
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(
+        "doc_id", ftrl.row_hash("text"), "turn", "label", "text")
+    least = rows.groupBy("doc_id").agg(F.min("pick").alias("pick"))
+    chosen = rows.join(F.broadcast(least), ["doc_id", "pick"]).mapInArrow(
+        extract, "doc_id bigint, turn bigint, label int, features binary")
+    return ftrl.sparse_fit(stored(chosen, "toxicity-sample"))
 
 
 def score_column(text: Column, model: ftrl.Sparse) -> Column:
