@@ -37,9 +37,9 @@ from wordloom.llm.common import shuffle_partitions, stored
 
 # Fixed values of the measure.
 MIN_DOCUMENTS, SCALE, SMOOTHING, TERM_RANKS = 30, 1_000_000_000, 5, 50
-TERMS = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-BLOCK_TERMS = 250_000  # distinct terms a task holds before it passes them on
+# Of UTF-8: every byte of a character beyond ASCII is above 7F.
+TERMS = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+BLOCK_TERMS = 400_000  # distinct terms a task holds before it passes them on
 BLOCK_CELLS = 1 << 21  # paths of one tree times the length of the longest
 
 COUNTS = "lang string, source string, term string, n bigint, docs bigint"
@@ -59,28 +59,31 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
     size = 0
 
-    def batch_of() -> pa.RecordBatch:
-        rows = []
+    def rows() -> Iterator[pa.RecordBatch]:
         for (lang, source), (n, docs) in groups.items():
-            rows.append((lang, source, None, 0, 0))
-            rows += [(lang, source, term, n[term], docs[term]) for term in docs]
-        return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), _COUNTS)],
-                               schema=_COUNTS)
+            k = len(docs) + 1
+            columns = [
+                pa.repeat(lang, k), pa.repeat(source, k),
+                pa.array([None, *docs], pa.binary()).cast(pa.string()),
+                pa.array([0, *map(n.__getitem__, docs)], pa.int64()),
+                pa.array([0, *docs.values()], pa.int64()),
+            ]
+            yield pa.record_batch(columns, schema=_COUNTS)
 
     for batch in batches:
-        for lang, source, text in zip(*(batch.column(c) for c in ("lang", "source", "text")),
-                                      strict=True):
-            n, docs = groups.setdefault((lang.as_py(), source.as_py()), (Counter(), Counter()))
+        texts = batch.column("text").cast(pa.binary())
+        for lang, source, text in zip(batch.column("lang").to_pylist(),
+                                      batch.column("source").to_pylist(), texts, strict=True):
+            n, docs = groups.setdefault((lang, source), (Counter(), Counter()))
             size -= len(docs)
-            found = Counter(TERMS.findall(text.as_py().translate(_LOWER)))
+            found = TERMS.findall(text.as_py().lower())  # of bytes: A to Z only
             n.update(found)
-            docs.update(found.keys())
+            docs.update(set(found))
             size += len(docs)
             if size >= BLOCK_TERMS:
-                yield batch_of()
+                yield from rows()
                 groups, size = {}, 0
-    if groups:
-        yield batch_of()
+    yield from rows()
 
 
 def term_counts(docs: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -252,8 +255,11 @@ def _pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
     paths = shares.groupBy("lang", "term").agg(F.sort_array(F.collect_list(item)).alias("path"))
     paths = paths.groupBy("lang", "path").agg(F.count("*").alias("times"))
     parts = shuffle_partitions(shares.sparkSession)
-    # A path as a sort key orders its counts one by one, so beginnings are neighbours.
-    ordered = paths.repartitionByRange(parts, "lang", "path").sortWithinPartitions("lang", "path")
+    # Ranges are drawn by the first counts of a path, and a hash for paths that begin alike.
+    # As a sort key a path orders its counts one by one, so beginnings are neighbours.
+    at = lambda k: (F.get("path", F.lit(k))["source"], F.get("path", F.lit(k))["n"])
+    ranges = [F.col("lang"), *at(0), *at(1), F.xxhash64("path")]
+    ordered = paths.repartitionByRange(parts, *ranges).sortWithinPartitions("lang", "path")
     both = ordered.mapInArrow(_corrections, CORRECTIONS)
     ways = lambda df, a, b: df.select("lang", F.col(a).alias("source"), F.col(b).alias("item"), "value")
     base = groups.join(other, "lang").where("source <> item").select(
