@@ -125,10 +125,10 @@ def test_a_repeated_id_is_learnt_from_once(spark, real, real_sf):
     assert found.weights.tolist() == expected.weights.tolist() and found.bias == expected.bias
 
 
-@pytest.mark.parametrize("block", [1, 1 << 21])
-def test_the_streamed_fit_is_the_fit_of_all_features(spark, monkeypatch, block):
-    """Counted and filtered in Spark, in blocks of any size, with repeated rows: the same weights."""
-    monkeypatch.setattr(ftrl, "COUNT_BLOCK", block)
+@pytest.mark.parametrize("bits", [0, 5, 26])
+def test_the_streamed_fit_is_the_fit_of_all_features(spark, monkeypatch, bits):
+    """With slots that hold many features or one, and with repeated rows: the same weights."""
+    monkeypatch.setattr(ftrl, "SLOT_BITS", bits)
     rng = np.random.default_rng(9)
     rows = [np.unique(rng.zipf(1.3, 12) % 700 - 350) for _ in range(400)]
     labels = [int(3 in r or -7 in r) for r in rows]

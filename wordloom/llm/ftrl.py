@@ -20,6 +20,7 @@ from wordloom.llm.common import pack_numbers, unpack_numbers
 ALPHA, BETA, L1, L2, EPOCHS = 1.0, 1.0, 6.0, 0.1, 3
 NEVER = -20.0  # log-odds where there was nothing to learn from
 LIMIT = 35.0
+SLOT_BITS = 26  # of the slots that tell which features can be left out
 CLASS_SHARE = 16  # a sample has this part of each class, if there is so much of it
 
 
@@ -63,7 +64,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, size: int, l1: float = L1) -
         shrunk = np.sign(zs) * np.maximum(np.abs(zs) - penalties, 0)
         return -shrunk / ((BETA + np.sqrt(ns)) / ALPHA + L2)
 
-    places = [np.append(row, size) for row in rows]
+    places = [np.append(row, row.dtype.type(size)) for row in rows]
     for _ in range(EPOCHS):
         for at, label in zip(places, labels.tolist(), strict=True):
             zs, ns = z[at], n[at]
@@ -180,71 +181,62 @@ def fit_in_one_task(
     )
 
 
-COUNT_BLOCK = 1 << 21  # features a task holds before it counts and passes them on
+def frequent_keys(packed_rows: list[bytes], least: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The features that ``least`` rows have, ascending, and the rows as their places.
 
-
-def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Features and their number of rows, by block."""
-    held, size = [], 0
-
-    def counts() -> pa.RecordBatch:
-        features, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.record_batch([pa.array(features, pa.int64()), pa.array(n, pa.int64())],
-                               names=["feature", "n"])
-
-    for batch in batches:
-        for row in unpacked(batch.column("features")):
-            held.append(row)
-            size += len(row)
-            if size >= COUNT_BLOCK:
-                yield counts()
-                held, size = [], 0
-    if held:
-        yield counts()
+    Empties ``packed_rows``. Rows are unpacked one at a time, twice. First each row
+    adds one to the slots of its features; a slot has at least as many rows as
+    each of its features, so features of emptier slots can be left out at once,
+    and only the others are held and counted exactly.
+    """
+    slots = np.zeros(1 << SLOT_BITS, np.uint8)
+    place = lambda row: row & np.int64(len(slots) - 1)
+    for data in packed_rows:
+        at = place(unpack_numbers(data).astype(np.int64))
+        slots[at] = np.minimum(slots[at], 254) + 1
+    held = []
+    while packed_rows:
+        row = unpack_numbers(packed_rows.pop()).astype(np.int64)
+        held.append(row[slots[place(row)] >= min(least, 255)])
+    held.reverse()
+    del slots
+    every = np.concatenate(held) if held else np.empty(0, np.int64)
+    every.sort()
+    new = np.ones(len(every), bool)
+    np.not_equal(every[1:], every[:-1], out=new[1:])
+    starts = np.flatnonzero(new)
+    keys = every[starts[np.diff(starts, append=len(every)) >= least]]
+    del every, new, starts
+    for k, row in enumerate(held):
+        held[k] = numbered(keys, row)
+    return keys, held
 
 
 def sparse_fit(sample: DataFrame, l1: float = L1) -> Sparse:
-    """``fit_keys`` over a stored sample with doc_id, turn, label and packed features.
+    """``fit_keys`` over rows of a bounded sample: doc_id, turn, label, packed features.
 
-    Features are counted in Spark, and only those of enough rows go into the fit.
-    One task makes the fit: it is sent those features first, ascending, then the
-    rows in the order of ``turn``, and keeps of each row the places of its
-    features only. Further rows of an id are passed over; that they were counted
-    leaves some more features in, which get no weight.
+    One task makes the fit. Its rows come as a stream in the order of ``turn`` and
+    stay packed until the features of too few rows are known; further rows of an
+    id are passed over.
     """
-    counted = sample.mapInArrow(_feature_counts, "feature bigint, n bigint")
-    keys = counted.groupBy("feature").agg(F.sum("n").alias("n")).where(
-        F.col("n") >= rows_to_matter(l1))
-    empty = lambda kind: F.lit(None).cast(kind)
-    first = keys.select("feature", empty("bigint").alias("turn"), empty("bigint").alias("doc_id"),
-                        empty("int").alias("label"), empty("binary").alias("features"))
-    rows = sample.select(empty("bigint").alias("feature"), "turn", "doc_id",
-                         F.col("label").cast("int").alias("label"), "features")
-    is_row = F.col("feature").isNull()
-    stream = first.unionByName(rows).repartition(1).sortWithinPartitions(
-        is_row, "feature", "turn", "doc_id")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, keys, places, labels, last = [], None, [], [], None
+        packed_rows, labels, last = [], [], None
         for batch in batches:
-            features = batch.column("feature")
-            parts.append(features.drop_null().to_numpy().copy())
-            if features.null_count and keys is None:
-                keys = np.concatenate(parts)
-            for doc_id, label, packed_row in zip(
-                    *(batch.column(c).slice(len(batch) - features.null_count)
-                      for c in ("doc_id", "label", "features")), strict=True):
+            for doc_id, label, data in zip(
+                    *(batch.column(c) for c in ("doc_id", "label", "features")), strict=True):
                 if last != (last := doc_id.as_py()):
-                    row = unpack_numbers(packed_row.as_py()).astype(np.int64)
-                    places.append(numbered(keys, row))
+                    packed_rows.append(data.as_py())
                     labels.append(label.as_py())
-        if places:
-            found = fit_numbered(keys, places, np.array(labels, np.float64), l1)
+        if labels:
+            keys, rows = frequent_keys(packed_rows, rows_to_matter(l1))
+            found = fit_numbered(keys, rows, np.array(labels, np.float64), l1)
             yield pa.record_batch(
                 [pa.array([found.features.tolist()], pa.list_(pa.int64())),
                  pa.array([found.weights.tolist()], pa.list_(pa.float64())),
                  pa.array([found.bias])], names=["features", "weights", "bias"])
 
+    stream = sample.repartition(1).sortWithinPartitions("turn", "doc_id")
     model = stream.mapInArrow(
         train, "features array<bigint>, weights array<double>, bias double").first()
     if model is None:

@@ -47,7 +47,8 @@ def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "toxic") -> f
     labelled document nothing counts as toxic.
     """
     ids = docs.select("doc_id").dropna().distinct()
-    sample = ftrl.labelled_sample(labels, ids, label_column, "doc_id", MAX_LABELLED)
+    sample = stored(ftrl.labelled_sample(labels, ids, label_column, "doc_id", MAX_LABELLED),
+                    "toxicity-sample")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in ftrl.least_rows(batches):
@@ -63,7 +64,7 @@ def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "toxic") -> f
     least = rows.groupBy("doc_id").agg(F.min("pick").alias("pick"))
     chosen = rows.join(F.broadcast(least), ["doc_id", "pick"]).mapInArrow(
         extract, "doc_id bigint, turn bigint, label int, features binary")
-    return ftrl.sparse_fit(stored(chosen, "toxicity-sample"))
+    return ftrl.sparse_fit(chosen)
 
 
 def score_column(text: Column, model: ftrl.Sparse) -> Column:
