@@ -32,11 +32,31 @@ def test_words_make_the_text(library, awkward, real):
         assert encode(text) == words(library(text)), repr(text)
 
 
+@pytest.mark.parametrize("alphabet", [
+    " \n\n ab'sZ.,12#éßжÑ²¼ªßא؀\u0301", "aé.\n' s\r²", " \t\x0b\x85\xa0\x1cab1.\0", " 中aé\n.\U0001f600'll"])
+def test_line_breaks_and_letters_beyond_ascii(library, alphabet):
+    encode = encoder.Encoder(PATH).encode
+    rng = random.Random(alphabet)
+    for n in (6, 14, 40):
+        for _ in range(1500):
+            text = "".join(rng.choices(alphabet, k=n))
+            assert encode(text) == words(library(text)), repr(text)
+
+
+def test_every_known_character(library):
+    encode = encoder.Encoder(PATH).encode
+    for c in map(chr, range(0x700)):
+        text = f" x{c}y{c}{c}1{c} {c}"
+        assert encode(text) == words(library(text)), repr(text)
+
+
 def test_full_cache_changes_nothing(library, monkeypatch, real):
-    monkeypatch.setattr(encoder, "CACHE_WORDS", 5)
+    monkeypatch.setattr(encoder, "CACHE_PIECES", 5)
+    monkeypatch.setattr(encoder, "CACHE_PARTS", 5)
+    monkeypatch.setattr(encoder, "CHUNK_CHARS", 50)
     encode = encoder.Encoder(PATH).encode
-    for r in real.collect()[:20]:
-        assert encode(r.text) == words(library(r.text))
+    for text in [r.text for r in real.collect()[:20]] + ["中 a" * 90, "a  b \n" * 60]:
+        assert encode(text) == words(library(text))
 
 
 @pytest.mark.parametrize("kind", ["byte", "bit"])
