@@ -6,17 +6,21 @@ the root, which knows every word and the unknown one. One traversal from left to
 right carries the state and adds up log-probabilities:
 
     root    p(w)   = (c(w) - d) / N, or d * V / N for the unknown word
-    state u p(w|u) = (c(u, w) + PRIOR * p(w)) / (c(u) + PRIOR)
+    state u p(w|u) = (c(u, w) - D) / c(u) + D * T(u) / c(u) * p(w)
 
-so the failure arc of u weighs PRIOR / (c(u) + PRIOR). Each distribution sums to
-one over the known words and the unknown one. d is the share n1 / (n1 + 2 * n2)
-of the words seen once and twice.
+T(u) is the number of different words seen after u, so the failure arc of u
+weighs D * T(u) / c(u): a state that has seen little backs off nearly always, one
+that is always followed by the same word hardly ever. Each distribution sums to
+one over the known words and the unknown one. d and D are the shares
+n1 / (n1 + 2 * n2) of the words and of the pairs seen once and twice.
 
 No task holds the whole model. A block of documents sends each of its distinct
 n-grams once, with its count, to the shard that the n-gram's hash names; shards
 add the counts of all blocks and answer each block with the totals it asked
 for, and with those alone the block builds the part of the automaton that its
-documents can reach.
+documents can reach. For T a shard also names one block as the owner of each
+pair; every block counts the pairs it owns by their first word, and those counts
+are added up in shards of words in the same way.
 """
 
 from __future__ import annotations
@@ -40,8 +44,8 @@ from wordloom.llm.common import (
     words_of,
 )
 
-PRIOR = 1000.0
 BLOCK_TOKENS = 1 << 20
+CONTEXT = 3  # stands for the counts T beside those of n-grams of one and two words
 # Hashes of what no word can be: the start and the end of a text.
 START, END = mixed(np.array([0x5354415254, 0x454E44], np.uint64))
 
@@ -52,7 +56,7 @@ _COUNTS = pa.schema([("block", pa.int64()), ("ngram", pa.int32()), ("shard", pa.
                      ("keys", pa.binary()), ("counts", pa.binary())])
 _TOTALS = pa.schema([
     ("block", pa.int64()), ("ngram", pa.int32()), ("shard", pa.int32()), ("totals", pa.binary()),
-    ("tokens", pa.int64()), ("types", pa.int64()), ("once", pa.int64()), ("twice", pa.int64())])
+    ("owned", pa.binary()), ("tokens", pa.int64()), ("types", pa.int64()), ("once", pa.int64()), ("twice", pa.int64())])
 _SCORES = pa.schema([
     ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
     ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()),
@@ -61,7 +65,7 @@ _SCORES = pa.schema([
 TEXTS = ("block bigint, doc_ids array<bigint>, train array<boolean>, n_words array<bigint>, "
          "codes binary, words binary")
 COUNTS = "block bigint, ngram int, shard int, keys binary, counts binary"
-TOTALS = ("block bigint, ngram int, shard int, totals binary, "
+TOTALS = ("block bigint, ngram int, shard int, totals binary, owned binary, "
           "tokens bigint, types bigint, once bigint, twice bigint")
 SCORES = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
           "train_tokens bigint, base_score double, score double")
@@ -125,6 +129,11 @@ class Block:
             return_inverse=True,
         )
 
+    def pair_words(self) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the first and the second word of each distinct pair."""
+        first = np.unique(self.pair_of, return_index=True)[1]
+        return self.before[first], self.tokens[first]
+
     def counts(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """n, ascending hashes and training counts of the block's distinct n-grams.
 
@@ -144,57 +153,90 @@ def rolling_pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return rolling(np.stack((first, second), axis=1).ravel(), 2)[::2]
 
 
-def count_rows(row: dict, shards: int) -> Iterator[tuple]:
-    """COUNTS of one block: a row for each n and shard that owns some of its n-grams.
-
-    Shards own equal ranges of hashes, so sorted hashes are cut in place.
-    """
+def _shard_rows(
+    block: int, n: int, keys: np.ndarray, counts: np.ndarray, shards: int
+) -> Iterator[tuple]:
+    """COUNTS of ascending keys. Shards own equal ranges of hashes, so keys are cut in place."""
     bounds = np.array([(k << 64) // shards for k in range(shards)], np.uint64)
+    cuts = np.append(np.searchsorted(keys, bounds), len(keys))
+    for shard in np.flatnonzero(np.diff(cuts)).tolist():
+        a, b = cuts[shard], cuts[shard + 1]
+        yield block, n, shard, _pack_sorted(keys[a:b]), pack_numbers(counts[a:b])
+
+
+def count_rows(row: dict, shards: int) -> Iterator[tuple]:
+    """COUNTS of one block: a row for each n and shard that owns some of its n-grams."""
     for n, keys, counts in Block(row).counts():
-        cuts = np.append(np.searchsorted(keys, bounds), len(keys))
-        for shard in np.flatnonzero(np.diff(cuts)).tolist():
-            a, b = cuts[shard], cuts[shard + 1]
-            yield (row["block"], n, shard, _pack_sorted(keys[a:b]), pack_numbers(counts[a:b]))
+        yield from _shard_rows(row["block"], n, keys, counts, shards)
+
+
+def _in_order(replies: pa.Table, column: str) -> list[bytes]:
+    return [r[column] for r in sorted(replies.to_pylist(), key=lambda r: r["shard"])]
+
+
+def context_rows(row: dict, replies: pa.Table, shards: int) -> Iterator[tuple]:
+    """COUNTS of one block's words as contexts: how many of the pairs it owns each begins."""
+    block = Block(row)
+    owned = [unpack_numbers(data) for data in _in_order(replies, "owned")]
+    first = block.pair_words()[0][np.concatenate(owned) > 0]
+    begun = np.bincount(first, minlength=len(block.words))
+    order = np.argsort(block.words, kind="stable")
+    yield from _shard_rows(row["block"], CONTEXT, block.words[order], begun[order], shards)
 
 
 def total_rows(table: pa.Table) -> list[tuple]:
     """TOTALS of one shard: a row for each asking block, and one of the shard's own sums."""
-    rows = table.to_pylist()
+    rows = sorted(table.to_pylist(), key=lambda r: r["block"])
     keys = [_unpack_sorted(r["keys"]) for r in rows]
     counts = [unpack_numbers(r["counts"]) for r in rows]
     known, place = np.unique(np.concatenate(keys), return_inverse=True)
     totals = np.zeros(len(known), np.uint64)
-    np.add.at(totals, place, np.concatenate(counts))
+    flat = np.concatenate(counts)
+    np.add.at(totals, place, flat)
     n, shard = rows[0]["ngram"], rows[0]["shard"]
+    # A pair's owner is the first of the blocks that have it in training texts.
+    owned = np.zeros(len(flat), np.uint8)
+    trained = np.flatnonzero(flat)
+    owned[trained[np.unique(place[trained], return_index=True)[1]]] = 1
     out, at = [], 0
     for r, own in zip(rows, keys, strict=True):
         mine = totals[place[at : at + len(own)]]
-        out.append((r["block"], n, shard, pack_numbers(mine), None, None, None, None))
+        owner = pack_numbers(owned[at : at + len(own)]) if n == 2 else None
+        out.append((r["block"], n, shard, pack_numbers(mine), owner, None, None, None, None))
         at += len(own)
     real = totals[known != START] if n == 1 else totals
-    out.append((None, n, shard, None, int(real.sum()), int((real > 0).sum()),
+    out.append((None, n, shard, None, None, int(real.sum()), int((real > 0).sum()),
                 int((real == 1).sum()), int((real == 2).sum())))
     return out
 
 
+def discount(once: int, twice: int) -> float:
+    """What is taken off every count, from how many things were seen once and twice."""
+    return min(once / (once + 2 * twice), 0.95) if once else 0.5
+
+
 class Automaton:
     """The states and arcs that a block's documents can reach."""
 
-    def __init__(self, block: Block, seen: np.ndarray, pair_seen: np.ndarray,
-                 tokens: int, types: int, discount: float) -> None:
+    def __init__(self, block: Block, seen: np.ndarray, pair_seen: np.ndarray, begun: np.ndarray,
+                 sums: dict[int, dict]) -> None:
+        words, pairs = sums[1], sums[2]
+        tokens, off = words["tokens"], discount(words["once"], words["twice"])
         if tokens:
-            unknown = discount * types / tokens
-            root = np.where(seen > 0, (seen - discount) / tokens, unknown)
+            unknown = off * words["types"] / tokens
+            root = np.where(seen > 0, (seen - off) / tokens, unknown)
             root[-2] = 1.0  # nothing leads to the start
         else:
             root = np.ones(len(seen))  # nothing is known: all is the unknown word
-        self.root = np.log10(root).tolist()
-        self.fail = np.log10(PRIOR / (seen + PRIOR)).tolist()
+        off = discount(pairs["once"], pairs["twice"])
+        left = np.ones(len(seen))  # a word that was never seen is as good as the root
+        np.divide(off * begun, seen, out=left, where=begun > 0)
+        self.root, self.fail = np.log10(root).tolist(), np.log10(left).tolist()
         self.size = len(seen)
-        first = np.unique(block.pair_of, return_index=True)[1]
+        u, w = block.pair_words()
         found = np.flatnonzero(pair_seen > 0)
-        u, w, c = block.before[first][found], block.tokens[first][found], pair_seen[found]
-        weights = np.log10((c + PRIOR * root[w]) / (seen[u] + PRIOR))
+        u, w, c = u[found], w[found], pair_seen[found]
+        weights = np.log10((c - off) / seen[u] + left[u] * root[w])
         self.arcs = dict(zip((u * self.size + w).tolist(), weights.tolist(), strict=True))
 
     def score(self, tokens: list[int], start: int) -> float:
@@ -208,18 +250,18 @@ class Automaton:
         return total
 
 
-def score_rows(row: dict, replies: pa.Table, sums: dict) -> Iterator[tuple]:
+def score_rows(row: dict, replies: pa.Table, sums: dict[int, dict]) -> Iterator[tuple]:
     """SCORES of one block, given the totals of its n-grams and the sums over all shards."""
     block, seen = Block(row), {}
     by_shard = sorted(replies.to_pylist(), key=lambda r: r["shard"])
-    for n in (1, 2):
+    for n in (1, 2, CONTEXT):
         parts = [unpack_numbers(r["totals"]) for r in by_shard if r["ngram"] == n]
         seen[n] = np.concatenate(parts).astype(np.float64)
-    words = np.empty(len(block.words))
-    words[np.argsort(block.words, kind="stable")] = seen[1]
-    tokens, types = sums["tokens"], sums["types"]
-    discount = sums["once"] / (sums["once"] + 2 * sums["twice"]) if sums["once"] else 0.5
-    automaton = Automaton(block, words, seen[2], tokens, types, min(discount, 0.95))
+    order = np.argsort(block.words, kind="stable")
+    words, begun = np.empty(len(block.words)), np.empty(len(block.words))
+    words[order], begun[order] = seen[1], seen[CONTEXT]
+    tokens, types = sums[1]["tokens"], sums[1]["types"]
+    automaton = Automaton(block, words, seen[2], begun, sums)
     known = words[block.tokens]
     base = np.log10((known + 0.5) / (tokens + 0.5 * (types + 1)))
     starts = np.cumsum(block.lengths) - block.lengths
@@ -276,13 +318,25 @@ def scored(
         blocks.mapInArrow(count, COUNTS).groupBy("ngram", "shard").applyInArrow(add_up, TOTALS),
         "lm-totals",
     )
-    own = totals.where("block is null and ngram = 1")
-    sums = own.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c)
-                     for c in ("tokens", "types", "once", "twice"))).first().asDict()
+    own = totals.where("block is null").groupBy("ngram").agg(
+        *(F.sum(c).alias(c) for c in ("tokens", "types", "once", "twice")))
+    # Two rows at most.
+    sums = {n: dict.fromkeys(("tokens", "types", "once", "twice"), 0) for n in (1, 2)}
+    sums |= {r["ngram"]: r.asDict() for r in own.collect()}
+
+    def contexts(block: pa.Table, replies: pa.Table) -> pa.Table:
+        found = [r for row in block.to_pylist() for r in context_rows(row, replies, shards)]
+        return pa.Table.from_batches([_batch(found, _COUNTS)])
 
     def score(block: pa.Table, replies: pa.Table) -> pa.Table:
         found = [r for row in block.to_pylist() for r in score_rows(row, replies, sums)]
         return pa.Table.from_batches([_batch(found, _SCORES)])
 
-    replies = totals.where("block is not null").select("block", "ngram", "shard", "totals")
-    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(score, SCORES)
+    # Both meetings with the replies share one shuffle of the blocks.
+    by_block = blocks.groupBy("block")
+    owners = totals.where("ngram = 2 and block is not null").select("block", "shard", "owned")
+    begun = by_block.cogroup(owners.groupBy("block")).applyInArrow(contexts, COUNTS)
+    begun = begun.groupBy("ngram", "shard").applyInArrow(add_up, TOTALS)
+    replies = totals.unionByName(begun).where("block is not null").select(
+        "block", "ngram", "shard", "totals")
+    return by_block.cogroup(replies.groupBy("block")).applyInArrow(score, SCORES)
