@@ -129,3 +129,118 @@ def test_components(spark):
     expected = {n: root(n) for a, b in links if a != b for n in (a, b)}
     assert found == expected
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def variants(n, words=100, changed=2):
+    """A text and copies of it that are like it but, most of them, not like each other."""
+    rng = random.Random(n)
+    base = [f"b{k}" for k in range(words)]
+    texts = []
+    for _ in range(n):
+        own = list(base)
+        for place in rng.sample(range(5, words - 5), changed):
+            own[place] = f"x{rng.randrange(10**9)}"
+        texts.append(" ".join(own))
+    return texts, " ".join(base)
+
+
+def test_copies_that_are_not_like_each_other_meet_at_their_hub(spark, monkeypatch):
+    """Block comparisons stay few: the original, not the least text, ties the copies."""
+    texts, original = variants(1500)
+    bags = [bagminhash.as_set(bagminhash.bag(t)) for t in texts[:60]]
+    apart = [bagminhash.similarity(a, b) < 0.8 for i, a in enumerate(bags) for b in bags[:i]]
+    assert sum(apart) > 0.7 * len(apart)
+    assert all(bagminhash.similarity(bagminhash.as_set(bagminhash.bag(original)), b) >= 0.8 for b in bags)
+    met = []
+    plain = bagminhash._met_blocks
+
+    def counted(entries):
+        found = plain(entries)
+        met.append(found.count())
+        return found
+
+    monkeypatch.setattr(bagminhash, "_met_blocks", counted)
+    docs = spark.createDataFrame(list(enumerate([*texts, original])), "doc_id long, text string")
+    rows = bagminhash.near_duplicates(docs.repartition(4)).collect()
+    # All that share a band with the original; of 1500 nearly every one does.
+    keys = bagminhash.band_keys([*texts, original])
+    tied = [k for k, own in enumerate(keys) if set(own) & set(keys[-1])]
+    assert len(tied) >= 1498
+    assert {r.class_id for r in rows if r.doc_id in tied} == {min(tied)}
+    # Only the buckets of a text that missed the original are looked at, each text once:
+    # of the 48,000 entries of all buckets a small part.
+    assert met[0] < 48_000 / 4
+
+
+def test_blocks_meet_where_a_link_may_be_missing(spark, monkeypatch):
+    """Every two texts of different components of a bucket meet in some group, others need not."""
+    monkeypatch.setattr(bagminhash, "BLOCK_TEXTS", 3)
+    rng = random.Random(5)
+    entries = [(key, node, component) for key, n in ((1, 40), (2, 7), (3, 2))
+               for node, component in ((k + 100 * key, 0 if rng.random() < 0.7 else k) for k in range(n))]
+    df = spark.createDataFrame(entries, "key long, node long, component long")
+    groups = {}
+    for r in bagminhash._met_blocks(df).collect():
+        groups.setdefault((r.key, r.one, r.two), []).append((r.node, r.component, r.part))
+    pairs = {(a[0], b[0]) for g in groups.values() for a in g for b in g
+             if a[2] != b[2] or len({x[2] for x in g}) == 1}
+    for key, a, x in entries:
+        for other, b, y in entries:
+            if key == other and x != y:
+                assert (a, b) in pairs or (b, a) in pairs
+    assert max(map(len, groups.values())) <= 20
+
+
+def test_recall_of_links_at_the_threshold():
+    """Pairs of similarity 0.8 to 0.85 share a band nearly always: 1 - (1 - 0.8 ** 6) ** 32."""
+    rng = random.Random(11)
+    texts, pairs = [], 0
+    for _ in range(150):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(204)]
+        other = list(words)
+        at = rng.randrange(10, 160)
+        for k in range(at, at + 17):
+            other[k] = f"y{rng.randrange(10**6)}"
+        a, b = " ".join(words), " ".join(other)
+        x, y = (bagminhash.as_set(bagminhash.bag(t)) for t in (a, b))
+        if bagminhash.similarity(x, y) >= 0.8:
+            texts += [a, b]
+            pairs += 1
+    keys = bagminhash.band_keys(texts)
+    caught = sum(bool(set(keys[2 * k]) & set(keys[2 * k + 1])) for k in range(pairs))
+    assert pairs > 100 and caught / pairs > 0.99
+
+
+def test_hot_nodes_can_be_split(spark):
+    """One node with nearly all edges: the join with stored minima is split between tasks."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        from wordloom.llm import components as c
+
+        # Many neighbours that are larger than the hot node 5, itself tied to node 1.
+        edges = c.stored(spark.range(10, 60_000).selectExpr("id as u", "5L as v").unionByName(
+            spark.sql("select 5L as u, 1L as v")), "edges")
+        moved = c._large_star(edges)
+        rows = moved.collect()
+        plan = moved._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert {r.v for r in rows} == {1} and len(rows) == 59_991
+    assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_clashing_names_of_columns(spark):
+    docs = spark.createDataFrame(
+        [(1, "a b c d e f", "x", 5), (2, "a b c d e f", "y", 6), (2, "a b c d e f", "y", 6)],
+        "doc_id long, text string, digest string, times long")
+    for extra in ("__id", "__digest", "id", "ID_", "__times"):
+        docs = docs.withColumn(extra, docs["doc_id"])
+    kept = bagminhash.keep_one(docs)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]

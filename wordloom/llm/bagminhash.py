@@ -16,9 +16,13 @@ its number of shingles.
 Links. Bands of components put texts into buckets. Each text is first compared,
 by exact multiset overlap, with the smallest text of the buckets it shares most
 often; that ties most groups together without any pair of their other members.
-What is left are buckets that still hold several components: their texts are
-compared block by block, so no link between different texts is lost and no task
-ever holds more than two blocks.
+In buckets that still hold several components each text is then compared with a
+hub: the text with the most others in its buckets, which is the original of many
+copies that are like it but not like each other. Where a bucket holds several
+components even then, the texts outside its largest component are compared with
+all others of the bucket block by block, so no link between different texts is
+lost, no task ever holds more than two blocks, and texts of one component are
+not compared again.
 
 Equal texts are one node throughout.
 """
@@ -32,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import mixed, rolling, shingles, stored, words_of
+from wordloom.llm.common import mixed, rolling, shingles, stored, unused, words_of
 from wordloom.llm.components import components
 
 SIMILARITY = 0.8
@@ -181,7 +185,8 @@ def _shared_buckets(nodes: DataFrame) -> DataFrame:
         # A check sum of the members: buckets of the same texts are looked at once.
         F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("members"),
     ).where("n > 1")
-    return stored(entries.join(buckets, "key"), "buckets")
+    # Stored, so that the join meets plain shuffles and can split a hot bucket.
+    return stored(entries.join(stored(buckets, "bucket-sizes"), "key"), "buckets")
 
 
 def _bags_of(rows: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -232,6 +237,41 @@ def _star_pairs(buckets: DataFrame) -> DataFrame:
     return best.select(F.col("node").alias("a"), (-F.col("best.minus")).alias("b"))
 
 
+def _with_components(buckets: DataFrame, known: DataFrame) -> DataFrame:
+    """``buckets`` and the component of each text, as far as it is tied to others."""
+    return buckets.join(known, "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+
+
+def _mixed(placed: DataFrame) -> DataFrame:
+    """The entries of buckets of several components, of equal buckets those of one."""
+    mixed_keys = placed.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.first("n").alias("n"), F.first("members").alias("members"),
+    ).where("low != high")
+    once = stored(
+        mixed_keys.groupBy("n", "members").agg(F.min("key").alias("key")).select("key"), "mixed")
+    return placed.join(once, "key", "left_semi")
+
+
+def _hub_pairs(entries: DataFrame) -> DataFrame:
+    """For each text the hub that it shares most buckets with, of another component.
+
+    The hub of a bucket is its text with the most other texts in all its buckets.
+    """
+    busy = entries.groupBy("node").agg(F.sum("n").alias("busy"))
+    known = entries.join(stored(busy, "busy"), "node")
+    hubs = known.groupBy("key").agg(
+        F.max_by(F.struct("node", "component"), F.struct("busy", (-F.col("node")).alias("minus")))
+        .alias("hub")
+    ).select("key", F.col("hub.node").alias("hub"), F.col("hub.component").alias("of"))
+    met = entries.join(stored(hubs, "hubs"), "key").where("component != of")
+    shared = met.groupBy("node", "hub").agg(F.count("*").alias("times"))
+    best = shared.groupBy("node").agg(
+        F.max_by("hub", F.struct("times", (-F.col("hub")).alias("minus"))).alias("b"))
+    return best.select(F.col("node").alias("a"), "b")
+
+
 def block_links(table: pa.Table) -> pa.Table:
     """Links that tie together what is not yet tied, within one or between two blocks.
 
@@ -278,31 +318,35 @@ def block_links(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, pa.int64()) for c in columns], names=["a", "b"])
 
 
-def _remaining_links(buckets: DataFrame, known: DataFrame, bags: DataFrame) -> DataFrame:
-    """Links between different components of ``known`` within any bucket.
+def _met_blocks(entries: DataFrame) -> DataFrame:
+    """``key, one, two, node, component, part``: each text once for every two blocks that meet.
 
-    A bucket's texts are dealt into blocks of some BLOCK_TEXTS by hash, and every
-    two blocks meet in a group of their own, so a group's size is bounded
-    whatever the bucket's.
+    The texts of a bucket's largest component, and its others, are dealt into
+    blocks of some BLOCK_TEXTS by hash; blocks of the others are numbered first.
+    Two blocks meet if one of them is of the others.
     """
-    placed = buckets.join(known, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
-    )
-    mixed_keys = placed.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"),
-        F.first("n").alias("n"), F.first("members").alias("members"),
-    ).where("low != high")
-    once = mixed_keys.groupBy("n", "members").agg(F.min("key").alias("key")).select("key")
-    blocks = F.ceil(F.col("n") / BLOCK_TEXTS).cast("int")
-    entries = placed.join(once, "key", "left_semi").withColumn("blocks", blocks).withColumn(
-        "part", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
-    )
-    met = entries.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select(
-        "key", "node", "component", "part",
-        F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"),
+    sizes = entries.groupBy("key", "component").agg(F.count("*").alias("size"))
+    sizes = sizes.groupBy("key").agg(
+        F.max_by("component", F.struct("size", "component")).alias("largest"),
+        F.max("size").alias("most"), F.sum("size").alias("all"))
+    blocks = lambda n: F.ceil(n / BLOCK_TEXTS).cast("int")
+    cut = entries.join(stored(sizes, "largest"), "key").select(
+        "key", "node", "component", (F.col("component") == F.col("largest")).alias("in_largest"),
+        blocks(F.col("all") - F.col("most")).alias("rest"), blocks(F.col("most")).alias("main"),
     )
-    return met.join(bags, "node").groupBy("key", "one", "two").applyInArrow(
+    place = lambda n: F.pmod(F.xxhash64("node", "key"), n).cast("int")
+    part = F.when(F.col("in_largest"), F.col("rest") + place(F.col("main"))).otherwise(
+        place(F.col("rest")))
+    meets = F.when(F.col("in_largest"), F.col("rest")).otherwise(F.col("rest") + F.col("main"))
+    met = cut.withColumn("part", part).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), meets - 1)))
+    return met.select("key", "node", "component", "part",
+                      F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"))
+
+
+def _remaining_links(entries: DataFrame, bags: DataFrame) -> DataFrame:
+    """Links between different components within any bucket; a group is two blocks."""
+    return _met_blocks(entries).join(bags, "node").groupBy("key", "one", "two").applyInArrow(
         block_links, "a bigint, b bigint"
     )
 
@@ -322,9 +366,13 @@ def _classed(rows: DataFrame) -> DataFrame:
     buckets = _shared_buckets(nodes.where(F.size("bands") > 0))
     bags = _bags_of(rows, nodes, buckets.select("node").distinct())
     stars = stored(_verified(_star_pairs(buckets), bags), "star-links")
-    ties = components(stars)
-    more = _remaining_links(buckets, ties, bags)
-    tied = components(stars.unionByName(stored(more, "block-links")))
+    open_buckets = stored(_mixed(_with_components(buckets, components(stars))), "open-buckets")
+    hubs = stored(_verified(_hub_pairs(open_buckets), bags), "hub-links")
+    links = stars.unionByName(hubs)
+    # Buckets that are no longer mixed are left out; the others are few.
+    left = open_buckets.drop("component")
+    left = stored(_mixed(_with_components(left, components(links))), "open-buckets")
+    tied = components(links.unionByName(stored(_remaining_links(left, bags), "block-links")))
     of_node = nodes.select("node", "digest").join(tied, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("class")
     )
@@ -366,16 +414,18 @@ def keep_one(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "
     """
     classed = stored(_classed(_plain(docs, id_column, text_column)), "classes")
     one = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("one")
+    own_id, own_digest, own_times = (unused(docs, c) for c in ("id", "digest", "times"))
     chosen = classed.groupBy("class").agg(one).select(
-        F.col("one.doc_id").alias("__id"), F.col("one.digest").alias("__digest")
+        F.col("one.doc_id").alias(own_id), F.col("one.digest").alias(own_digest)
     )
     # How often the chosen rows occur; only those that repeat are looked at again.
-    times = classed.groupBy("doc_id", "digest").agg(F.count("*").alias("__times"))
+    times = classed.groupBy(F.col("doc_id").alias("of_id"), F.col("digest").alias("of_digest")).agg(
+        F.count("*").alias(own_times))
     chosen = stored(chosen.join(
-        times, chosen["__id"].eqNullSafe(times["doc_id"]) & (chosen["__digest"] == times["digest"])
-    ).select("__id", "__digest", "__times"), "chosen")
+        times, chosen[own_id].eqNullSafe(times["of_id"]) & (chosen[own_digest] == times["of_digest"])
+    ).select(own_id, own_digest, own_times), "chosen")
     digest = F.md5(F.coalesce(docs[text_column].cast("string"), F.lit("")).cast("binary"))
-    same = docs[id_column].cast("bigint").eqNullSafe(F.col("__id")) & (digest == F.col("__digest"))
-    once = docs.join(chosen.where("__times = 1"), same)
-    often = docs.join(chosen.where("__times > 1"), same).dropDuplicates(["__id", "__digest"])
-    return once.unionByName(often).drop("__id", "__digest", "__times")
+    same = docs[id_column].cast("bigint").eqNullSafe(F.col(own_id)) & (digest == F.col(own_digest))
+    once = docs.join(chosen.where(F.col(own_times) == 1), same)
+    often = docs.join(chosen.where(F.col(own_times) > 1), same).dropDuplicates([own_id, own_digest])
+    return once.unionByName(often).drop(own_id, own_digest, own_times)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import uuid
 
 import numpy as np
 import pyarrow
@@ -13,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.sinks.tables import write_table
+from wordloom.sinks.tables import shared_folder, write_table
 
 BLANKS = b" \t\n\x0b\x0c\r"  # what separates words. Fixed values.
 _BLANK_BYTES = [bytes([b]) for b in BLANKS]
@@ -36,21 +35,22 @@ def id_and_text(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     )
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, upper and lower case being one."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     """The number of partitions the session asks for; adaptive runs may use fewer."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that the driver and all executors share.
-
-    It lies in ``spark.checkpoint.dir``, and where that is unset in the
-    warehouse. The folder is left to the cluster's own clean-up.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.sql.warehouse.dir"
-    )
-    return f"{shared.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    """A new folder that the driver and all executors share; see ``shared_folder``."""
+    return shared_folder(spark, f"llm/{name}")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -3,7 +3,9 @@
 Alternating large-star and small-star steps: every node is tied to the smallest
 node it knows, first by its larger neighbours, then by its smaller ones, until
 nothing changes. Each step is a minimum per node, added up before the shuffle,
-and a join with that minimum, which adaptive execution splits at hot nodes.
+and a join with that minimum. The minima are stored first, so that both sides of
+the join are plain shuffles, or one is small enough to be sent everywhere: only
+then can adaptive execution split the rows of a hot node between tasks.
 """
 
 from __future__ import annotations
@@ -17,14 +19,14 @@ from wordloom.llm.common import stored
 def _large_star(edges: DataFrame) -> DataFrame:
     """``edges`` (u, v) with u > v; larger neighbours move to the smallest neighbour."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     moved = both.join(least, "u").where("v > u")
     return moved.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours move to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = stored(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = edges.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -48,6 +50,6 @@ def components(links: DataFrame) -> DataFrame:
         if now == state or now["n"] == 0:
             break
         state = now
-        edges = stored(_small_star(_large_star(edges)), "edges")
+        edges = stored(_small_star(stored(_large_star(edges), "edges")), "edges")
     roots = edges.select(F.col("v").alias("u")).distinct()
     return edges.unionByName(roots.select("u", F.col("u").alias("v"))).toDF("node", "component")

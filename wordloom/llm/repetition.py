@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.common import BLANKS, rolling, words_of
+from wordloom.llm.common import BLANKS, rolling, unused, words_of
 
 # Fixed values of the base rule.
 SYMBOLS = b"#*$%&|<>"
@@ -133,8 +133,9 @@ def with_measures(docs: DataFrame, text_column: str = "text", name: str = "rules
 
 def keep_unrepetitive(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text passes all rules; columns as before."""
-    judged = with_measures(docs, text_column, "__rules")
-    return judged.where("__rules.kept").drop("__rules")
+    rules = unused(docs, "rules")
+    judged = with_measures(docs, text_column, rules)
+    return judged.where(F.col(rules)["kept"]).drop(rules)
 
 
 def quality_report(
