@@ -1,12 +1,15 @@
 """Quality classifier by co-training (operator 4).
 
-Two classifiers look at different views of a document: one at its text (words
-and their shapes), one at its metadata (language, source, size, layout and
-character classes). Over some rounds each labels the documents of an unlabelled
-pool it is surest of, and the other learns from those. Then each view's
-log-odds are calibrated on labelled documents neither has learnt from, and the
-mean of the calibrated log-odds scores every document. A feature of the text is
-its whole 64-bit hash, so that very long texts do not hit weights by collision.
+Two classifiers look at separate views of a document: one at its text (words
+and their shapes), one at its metadata alone (language, source and stated size).
+Over some rounds each labels the documents of an unlabelled pool it is surest of by
+its calibrated odds, of either class as many as the class's share among the
+labels asks for, and the other learns from those. Then each view's log-odds are calibrated on labelled
+documents neither has learnt from. Given the class the views are taken as
+independent, as co-training has it, so the calibrated log-odds of a document are
+added up, less those of the class itself, which both contain. A feature of the
+text is its whole 64-bit hash, so that very long texts do not hit weights by
+collision.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm import ftrl
-from wordloom.llm.common import mixed, rolling, words_of
+from wordloom.llm.common import mixed, rolling, unused, words_of
 
 MAX_LABELLED = 8_192  # ids learnt from and calibrated on; a bound on the fit alone
 MAX_POOL = 8_192  # unlabelled documents that get pseudo-labels; a bound on the fit alone
@@ -34,6 +37,8 @@ SHARE_PER_ROUND = 0.1  # of the pool that a view may label in a round
 CALIBRATION_SHARE = 5  # every fifth labelled document calibrates
 KEEP_AT = 0.5
 RIDGE = 1.0
+CALIBRATION_RIDGE = 5.0  # keeps the slope of a view small that a few rows speak for
+ROUND_RIDGE = 0.01  # that of the odds by which pseudo-labels are chosen
 LANG_SLOTS, SOURCE_SLOTS = 8, 16
 
 # Classes of bytes: letters by case, digits, the rest as it is. Non-ASCII letters count as a.
@@ -60,31 +65,22 @@ def text_features(text: str | None) -> np.ndarray:
     return np.unique(_text_hashes(text))
 
 
-NUMBERS = 13
+SIZE_SLOTS = 24
+NUMBERS = 1 + SIZE_SLOTS
 
 
-def metadata_features(
-    text: str | None, lang: str | None, source: str | None, n_chars: int | None
-) -> np.ndarray:
-    """Sizes, layout, shares of character classes, then language and source by hash.
+def metadata_features(lang: str | None, source: str | None, n_chars: int | None) -> np.ndarray:
+    """The size and its power of two, then language and source by hash.
 
-    A null size is counted from the text; a null language or source is its own value.
+    Nothing here is measured on the text. A null size, language or source is a
+    value of its own.
     """
-    data = (text or "").encode()
-    size = len(text or "") if n_chars is None else n_chars
-    classes = np.bincount(np.frombuffer(data.translate(_CLASS), np.uint8), minlength=128)
-    lines = [len(line) for line in data.split(b"\n")]
-    words = max(1, len(data.split()))
-    part = lambda chars: classes[list(chars)].sum() / max(1, len(data))
-    numbers = [
-        np.log1p(max(0, size)), np.log1p(len(lines)), np.log1p(max(lines)), np.log1p(np.mean(lines)),
-        min(20.0, len(data) / words), part(b"A"), part(b"0"), part(b"a"), part(b" "),
-        part(b".,;:"), part(b"!?"), part(b"#*$%&|<>"), part(b"/@=_~^{}[]"),
-    ]
-    slots = np.zeros(LANG_SLOTS + SOURCE_SLOTS)
-    slots[xxhash.xxh3_64_intdigest(repr(lang)) % LANG_SLOTS] = 1
-    slots[LANG_SLOTS + xxhash.xxh3_64_intdigest(repr(source)) % SOURCE_SLOTS] = 1
-    return np.concatenate((numbers, slots))
+    size = max(0, n_chars or 0)
+    slots = np.zeros(SIZE_SLOTS + LANG_SLOTS + SOURCE_SLOTS)
+    slots[SIZE_SLOTS - 1 if n_chars is None else min(size.bit_length(), SIZE_SLOTS - 2)] = 1
+    slots[SIZE_SLOTS + xxhash.xxh3_64_intdigest(repr(lang)) % LANG_SLOTS] = 1
+    slots[SIZE_SLOTS + LANG_SLOTS + xxhash.xxh3_64_intdigest(repr(source)) % SOURCE_SLOTS] = 1
+    return np.concatenate(([np.log1p(size)], slots))
 
 
 @dataclass
@@ -122,12 +118,14 @@ def _ridge(x: np.ndarray, labels: np.ndarray, ridge: float, steps: int = 25) ->
     return w
 
 
-def calibrated(odds: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+def calibrated(
+    odds: np.ndarray, labels: np.ndarray, ridge: float = CALIBRATION_RIDGE
+) -> tuple[float, float]:
     """Slope and offset that turn log-odds into calibrated ones (never reversed)."""
     # Smoothed targets keep the slope finite where the classes are far apart.
     up, down = labels.sum(), len(labels) - labels.sum()
     target = np.where(labels > 0, (up + 1) / (up + 2), 1 / (down + 2))
-    slope, offset = _ridge(np.column_stack((odds, np.ones(len(odds)))), target, 1e-3)
+    slope, offset = _ridge(np.column_stack((odds, np.ones(len(odds)))), target, ridge)
     return max(0.0, float(slope)), float(offset)
 
 
@@ -139,11 +137,12 @@ class Model:
     metadata: Metadata
     text_scale: tuple[float, float]
     metadata_scale: tuple[float, float]
+    prior: float = 0.0  # log-odds of the class, which both views contain
 
     def odds(self, text: np.ndarray, metadata: np.ndarray) -> np.ndarray:
         a, b = self.text_scale
         c, d = self.metadata_scale
-        return ((a * text + b) + (c * self.metadata.odds(metadata) + d)) / 2
+        return (a * text + b) + (c * self.metadata.odds(metadata) + d) - self.prior
 
 
 def _text_odds(model: ftrl.Sparse, rows: list[np.ndarray]) -> np.ndarray:
@@ -163,45 +162,61 @@ def cotrain(texts: list[np.ndarray], metadata: np.ndarray, labels: np.ndarray) -
     keys, texts = ftrl.numbered_rows(texts)
     # Each view learns from the labelled rows and from what the other has labelled.
     for_text, for_metadata = (train, labels[train]), (train, labels[train])
-    most = max(1, int(SHARE_PER_ROUND * len(pool)))
+    share = float(labels[train].mean())
+    most = max(2, int(SHARE_PER_ROUND * len(pool)))
+    good = min(max(1, round(share * most)), most - 1)
 
     def fit() -> tuple[ftrl.Sparse, Metadata]:
         at, y = for_text
         return (ftrl.fit([texts[k] for k in at], y, len(keys), TEXT_L1),
                 Metadata.fit(metadata[for_metadata[0]], for_metadata[1]))
 
-    def surest(odds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(-np.abs(odds), kind="stable")[:most]
-        p = ftrl.probability(odds[order])
-        order = order[(p >= SURE) | (p <= 1 - SURE)]
-        return order, (odds[order] > 0).astype(np.float64)
+    def surest(odds: np.ndarray, held_odds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Documents of the pool that are SURE by calibrated odds, the classes by their shares.
+
+        A view that knows little is sure of little, and one that is sure of a
+        single class labels none, so that no round shifts the balance.
+        """
+        slope, offset = calibrated(held_odds, labels[held], ROUND_RIDGE)
+        order, p = np.argsort(-odds, kind="stable"), ftrl.probability(slope * odds + offset)
+        up = [k for k in order[:good] if p[k] >= SURE]
+        down = [k for k in order[::-1][: most - good] if p[k] <= 1 - SURE]
+        part = min(len(up) / good, len(down) / (most - good))
+        up, down = up[: round(part * good)], down[: round(part * (most - good))]
+        return np.array(up + down, np.int64), np.repeat([1.0, 0.0], [len(up), len(down)])
 
     by_text, by_metadata = fit()
     for _ in range(ROUNDS):
         if not len(pool):
             break
-        a, a_labels = surest(_text_odds(by_text, [texts[k] for k in pool]))
-        b, b_labels = surest(by_metadata.odds(metadata[pool]))
+        in_text = lambda at: _text_odds(by_text, [texts[k] for k in at])  # noqa: B023, E731
+        a, a_labels = surest(in_text(pool), in_text(held))
+        b, b_labels = surest(by_metadata.odds(metadata[pool]), by_metadata.odds(metadata[held]))
+        if not len(a) + len(b):
+            break
         for_metadata = (np.append(for_metadata[0], pool[a]), np.append(for_metadata[1], a_labels))
         for_text = (np.append(for_text[0], pool[b]), np.append(for_text[1], b_labels))
         pool = np.delete(pool, np.union1d(a, b))
         by_text, by_metadata = fit()
     y = labels[held]
+    up = float(y.sum())
     return Model(
         ftrl.Sparse(keys[by_text.features], by_text.weights, by_text.bias), by_metadata,
         calibrated(_text_odds(by_text, [texts[k] for k in held]), y),
         calibrated(by_metadata.odds(metadata[held]), y),
+        float(np.log((up + 1) / (len(y) - up + 1))),
     )
 
 
 MODEL = (
     "features array<bigint>, weights array<double>, bias double, mean array<double>, "
-    "scale array<double>, metadata_weights array<double>, scales array<double>"
+    "scale array<double>, metadata_weights array<double>, scales array<double>, prior double"
 )
 _LISTS = pa.list_(pa.float64())
 _MODEL = pa.schema([
     ("features", pa.list_(pa.int64())), ("weights", _LISTS), ("bias", pa.float64()),
-    ("mean", _LISTS), ("scale", _LISTS), ("metadata_weights", _LISTS), ("scales", _LISTS)])
+    ("mean", _LISTS), ("scale", _LISTS), ("metadata_weights", _LISTS), ("scales", _LISTS),
+    ("prior", pa.float64())])
 
 
 def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "quality") -> Model | None:
@@ -229,7 +244,7 @@ def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "quality") ->
             yield pa.record_batch(
                 [*(batch.column(c) for c in kept),
                  ftrl.packed([text_features(r[0]) for r in rows]),
-                 pa.array([metadata_features(*r) for r in rows], pa.list_(pa.float64()))],
+                 pa.array([metadata_features(*r[1:]) for r in rows], pa.list_(pa.float64()))],
                 names=[*kept, "text", "metadata"],
             )
 
@@ -241,7 +256,7 @@ def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "quality") ->
             return _MODEL.empty_table()
         row = (model.text.features, model.text.weights, model.text.bias, model.metadata.mean,
                model.metadata.scale, model.metadata.weights,
-               np.array([*model.text_scale, *model.metadata_scale]))
+               np.array([*model.text_scale, *model.metadata_scale]), model.prior)
         return pa.table([pa.array([x], f.type) for x, f in zip(row, _MODEL, strict=True)], _MODEL)
 
     # At most MAX_LABELLED + MAX_POOL rows of three numbers.
@@ -259,7 +274,7 @@ def fitted(docs: DataFrame, labels: DataFrame, label_column: str = "quality") ->
     return Model(
         ftrl.Sparse(np.array(row["features"], np.int64), array("weights"), row["bias"]),
         Metadata(array("mean"), array("scale"), array("metadata_weights")),
-        (scales[0], scales[1]), (scales[2], scales[3]),
+        (scales[0], scales[1]), (scales[2], scales[3]), row["prior"],
     )
 
 
@@ -275,7 +290,7 @@ def score_column(
     ) -> Iterator[pd.Series]:
         for texts, langs, sources, sizes in batches:
             sizes = [None if pd.isna(n) else int(n) for n in sizes]
-            rows = [metadata_features(*r) for r in zip(texts, langs, sources, sizes, strict=True)]
+            rows = [metadata_features(*r) for r in zip(langs, sources, sizes, strict=True)]
             text_odds = [model.text.odds(_text_hashes(t)) for t in texts]
             metadata = np.array(rows).reshape(len(rows), -1)
             yield pd.Series(ftrl.probability(model.odds(np.array(text_odds), metadata))
@@ -308,5 +323,5 @@ def with_scores(
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that score KEEP_AT or more; columns as before."""
-    scored = with_scores(docs, labels, name="__quality")
-    return scored.where(F.col("__quality") >= KEEP_AT).drop("__quality")
+    name = unused(docs, "quality")
+    return with_scores(docs, labels, name=name).where(F.col(name) >= KEEP_AT).drop(name)
