@@ -135,8 +135,116 @@ SELECT * FROM (
 WHERE part = 'pair' OR rank <= 50
 """
 
+# Costs and letters so far, by state, as one string that sorts by cost and then by letters:
+# nine digits and the letters. A row is folded in by lists of four strings, one for what
+# came last: nothing, a system row, a user, an assistant.
+def _more(value: str, cost: int, letter: str) -> str:
+    return (f"lpad((left({value}, 9)::INTEGER + {cost})::VARCHAR, 9, '0') "
+            f"|| substr({value}, 10) || '{letter}'")
+
+
+def _least(*values: str) -> str:
+    return f"least({', '.join(values)})"
+
+
+def _inserted(acc: str) -> str:
+    """The list when missing rows may be put in."""
+    user = _least(f"{acc}[3]", *(_more(f"{acc}[{k}]", 5, "I") for k in (1, 2, 4)))
+    return (f"list_transform([[{acc}[1], {acc}[2], {user}, {acc}[4]]], lambda v: "
+            f"[v[1], v[2], v[3], {_least('v[4]', _more('v[3]', 5, 'I'))}])[1]")
+
+
+def _folded(acc: str, row: str) -> str:
+    """The list after a row, [initial, fault, null, null]."""
+    def options(state: int) -> str:
+        edges = {2: ((1,), "s"), 3: ((1, 2, 4), "u"), 4: ((3,), "a")}
+        found = [_more(f"{acc}[{state}]", 2, "D")]
+        if state in edges:
+            reached, initial = edges[state]
+            for extra, fault in ((0, ""), (5, "truncated")):
+                kept = _least(*(_more(f"{acc}[{k}]", extra, "K") for k in reached))
+                found.append(f"CASE WHEN {row}[2] = '{fault}' AND {row}[1] = '{initial}' THEN {kept} END")
+                if state > 2:
+                    changed = _least(*(_more(f"{acc}[{k}]", extra + 1, "R") for k in reached))
+                    found.append(f"CASE WHEN {row}[2] = '{fault}' THEN {changed} END")
+        return _least(*found)
+
+    return f"[{', '.join(options(state) for state in (1, 2, 3, 4))}]"
+
+
+_CRC = """xor(4294967295, list_reduce(
+        list_transform(string_split(key, ''), lambda c: ascii(c)::BIGINT), lambda crc, byte:
+        list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: xor(c >> 1, 3988292384 * (c & 1)),
+            xor(crc, byte)), 4294967295))"""
+
+OP12 = rf"""
+WITH plain AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+    FROM conversations
+), marked AS (
+    SELECT *, {_CRC} % 20 AS damage FROM plain
+), damaged AS (
+    SELECT conv_id, turn, CASE damage WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END
+        AS text, unnest(range(CASE damage WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM marked
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role,
+        sha256(octet_length(encode(role)) || ':' || role || text)) AS pos
+    FROM damaged
+), faults AS (
+    SELECT *, left(role, 1) AS initial,
+        CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+            WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+            WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 'truncated'
+            ELSE '' END AS fault,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS neighbours
+    FROM placed
+), measured AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (neighbours NOT IN ('su', 'ua', 'au')) AS illegal,
+        list([initial, fault, NULL, NULL] ORDER BY pos) AS rows
+    FROM faults GROUP BY conv_id
+), folded AS (
+    SELECT *, list_reduce(rows, lambda acc, row: list_transform([{_inserted("acc")}],
+        lambda open: {_folded("open", "row")})[1], ['000000000', NULL, NULL, NULL]) AS states
+    FROM measured
+), solved AS (
+    SELECT *, least(states[1], {_inserted("states")}[4]) AS best FROM folded
+), letters AS (
+    SELECT conv_id, unnest(string_split(substr(best, 10), '')) AS letter,
+        generate_subscripts(string_split(substr(best, 10), ''), 1) AS k FROM solved
+    WHERE length(best) > 9
+), counted AS (
+    SELECT *, count(*) FILTER (letter <> 'I') OVER w AS pos, count(*) FILTER (letter <> 'D') OVER w AS out
+    FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY k)
+), edited AS (
+    SELECT c.conv_id, c.k, c.letter, c.out, f.role, f.text,
+        max((c.out = 1 AND c.letter = 'K' AND f.initial = 's')::INTEGER)
+            OVER (PARTITION BY c.conv_id) AS begins_with_system
+    FROM counted AS c LEFT JOIN faults AS f
+        ON c.conv_id IS NOT DISTINCT FROM f.conv_id AND c.pos = f.pos AND c.letter <> 'I'
+), repaired AS (
+    SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role
+        WHEN (out - begins_with_system) % 2 = 1 THEN 'user' ELSE 'assistant' END
+        || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS text
+    FROM edited WHERE letter <> 'D' GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+    coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce(left(best, 9)::BIGINT, 0) AS cost,
+    coalesce(substr(best, 10), '') AS audit, sha256(coalesce(r.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o
+    LEFT JOIN solved AS s ON o.conv_id IS NOT DISTINCT FROM s.conv_id
+    LEFT JOIN repaired AS r ON o.conv_id IS NOT DISTINCT FROM r.conv_id
+"""
+
 ORACLE: dict[str, str] = {
     "op6_repetition_coverage": OP6,
     "op7_warc_index": OP7,
     "op11_pattern_tree": OP11,
+    "op12_checkpointed_repair": OP12,
 }
