@@ -56,6 +56,7 @@ def key(row):
 @pytest.mark.parametrize("size", [40, 1 << 20])
 def test_against_brute_force(awkward, real, monkeypatch, size):
     monkeypatch.setattr(language_model, "BLOCK_TOKENS", size)
+    monkeypatch.setattr(language_model, "MERGE_KEYS", size // 2)
     for docs in (awkward, real.where("doc_id < 80") if size == 40 else real):
         docs = docs.coalesce(3)
         expected, *_ = brute_force([(r.doc_id, r.text) for r in docs.collect()])

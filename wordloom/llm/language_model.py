@@ -45,6 +45,7 @@ from wordloom.llm.common import (
 )
 
 BLOCK_TOKENS = 1 << 20
+MERGE_KEYS = 1 << 18  # n-grams of blocks that a shard adds up at once, at least
 CONTEXT = 3  # stands for the counts T beside those of n-grams of one and two words
 # Hashes of what no word can be: the start and the end of a text.
 START, END = mixed(np.array([0x5354415254, 0x454E44], np.uint64))
@@ -184,30 +185,52 @@ def context_rows(row: dict, replies: pa.Table, shards: int) -> Iterator[tuple]:
     yield from _shard_rows(row["block"], CONTEXT, block.words[order], begun[order], shards)
 
 
-def total_rows(table: pa.Table) -> list[tuple]:
-    """TOTALS of one shard: a row for each asking block, and one of the shard's own sums."""
-    rows = sorted(table.to_pylist(), key=lambda r: r["block"])
-    keys = [_unpack_sorted(r["keys"]) for r in rows]
-    counts = [unpack_numbers(r["counts"]) for r in rows]
-    known, place = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.zeros(len(known), np.uint64)
-    flat = np.concatenate(counts)
-    np.add.at(totals, place, flat)
-    n, shard = rows[0]["ngram"], rows[0]["shard"]
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sums of their counts."""
+    keys, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    sums = np.zeros(len(keys), np.uint64)
+    np.add.at(sums, place, np.concatenate([c for _, c in parts]))
+    return keys, sums
+
+
+def total_rows(table: pa.Table) -> Iterator[tuple]:
+    """TOTALS of one shard: a row for each asking block, and one of the shard's own sums.
+
+    The rows stay packed and are unpacked one at a time, first to add up, then to
+    answer. Beside them a task holds the shard's distinct n-grams, and while it
+    adds up no more than three times as many.
+    """
+    order = np.argsort(table.column("block").to_numpy(), kind="stable")
+    n, shard = table.column("ngram")[0].as_py(), table.column("shard")[0].as_py()
+
+    def unpacked() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        for k in order.tolist():
+            yield (table.column("block")[k].as_py(),
+                   _unpack_sorted(table.column("keys")[k].as_py()),
+                   unpack_numbers(table.column("counts")[k].as_py()))
+
+    known, totals, waiting, size = np.empty(0, np.uint64), np.empty(0, np.uint64), [], 0
+    for _, keys, counts in unpacked():
+        waiting.append((keys, counts))
+        size += len(keys)
+        if size > len(known) + MERGE_KEYS:
+            known, totals = _summed([(known, totals), *waiting])
+            waiting, size = [], 0
+    known, totals = _summed([(known, totals), *waiting])
+    del waiting
     # A pair's owner is the first of the blocks that have it in training texts.
-    owned = np.zeros(len(flat), np.uint8)
-    trained = np.flatnonzero(flat)
-    owned[trained[np.unique(place[trained], return_index=True)[1]]] = 1
-    out, at = [], 0
-    for r, own in zip(rows, keys, strict=True):
-        mine = totals[place[at : at + len(own)]]
-        owner = pack_numbers(owned[at : at + len(own)]) if n == 2 else None
-        out.append((r["block"], n, shard, pack_numbers(mine), owner, None, None, None, None))
-        at += len(own)
+    free = np.ones(len(known), bool)
+    for block, keys, counts in unpacked():
+        place = np.searchsorted(known, keys)
+        owner = None
+        if n == 2:
+            mine = free[place] & (counts > 0)
+            free[place[mine]] = False
+            owner = pack_numbers(mine.astype(np.uint64))
+        yield block, n, shard, pack_numbers(totals[place]), owner, None, None, None, None
     real = totals[known != START] if n == 1 else totals
-    out.append((None, n, shard, None, None, int(real.sum()), int((real > 0).sum()),
-                int((real == 1).sum()), int((real == 2).sum())))
-    return out
+    yield (None, n, shard, None, None, int(real.sum()), int((real > 0).sum()),
+           int((real == 1).sum()), int((real == 2).sum()))
 
 
 def discount(once: int, twice: int) -> float:
@@ -306,7 +329,7 @@ def scored(
                 yield _batch(list(count_rows(row, shards)), _COUNTS)
 
     def add_up(table: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([_batch(total_rows(table), _TOTALS)])
+        return pa.Table.from_batches([_batch(list(total_rows(table)), _TOTALS)])
 
     rows = docs.select(
         docs[id_column].cast("bigint").alias("doc_id"),
