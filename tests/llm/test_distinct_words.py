@@ -39,6 +39,7 @@ def test_pieces_make_the_text(library):
 @pytest.mark.parametrize("chars", [50, 32 << 20])
 def test_all_documents(awkward, real, library, monkeypatch, chars):
     monkeypatch.setattr(distinct_words, "BLOCK_CHARS", chars)
+    monkeypatch.setattr(distinct_words, "REMEMBERED", chars // 10)
     for docs in (awkward, real.limit(60)) if chars == 50 else (awkward, real):
         docs = docs.coalesce(3)
         found = distinct_words.encode_and_decode(docs, PATH, public_tokenizers.PATTERN).collect()

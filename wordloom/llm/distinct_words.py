@@ -40,6 +40,7 @@ from wordloom.llm.encoder import INNER_BLANK, SAFE_CUT
 
 BLOCK_CHARS = 32 << 20
 LEVEL = 9
+REMEMBERED = 1_000_000  # words whose ids a task keeps
 _OF_DOCUMENTS = -1  # the shard number of a block's own row
 
 BLOCKS = "block bigint, shard int, doc_ids array<bigint>, n_words array<bigint>, data binary"
@@ -150,22 +151,28 @@ def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray]:
             np.fromiter(map(len, tokens), np.int64, len(tokens)))
 
 
-def answers(packs: pa.Table, path: str, pattern: str) -> list[tuple]:
-    """ANSWERS of one shard: for each block's words their ids, each distinct word encoded once."""
-    encode, ids_of = _encoding(path, pattern).encode_ordinary, {}
-    rows = []
-    for block, shard, data in zip(*(packs.column(c).to_pylist()
-                                    for c in ("block", "shard", "data")), strict=True):
-        found = []
-        for word in unpack_strings(data):
-            ids = ids_of.get(word)
-            if ids is None:
-                ids = ids_of[word] = encode(word.decode())
-            found.append(ids)
-        sizes = pack_numbers(np.fromiter(map(len, found), np.uint64, len(found)), LEVEL)
-        flat = pack_numbers(np.array([i for ids in found for i in ids], np.uint64), LEVEL)
-        rows.append((block, shard, len(sizes).to_bytes(8, "little") + sizes + flat))
-    return rows
+def answers(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[tuple]:
+    """ANSWERS to packs of words that come sorted by shard: for each pack the ids of its words.
+
+    A distinct word is encoded once, at its shard's first pack that has it. Packs
+    stream by; the task remembers one shard's words, and starts afresh beyond
+    REMEMBERED of them, so that its memory is bounded whatever the corpus.
+    """
+    encode, ids_of, of = _encoding(path, pattern).encode_ordinary, {}, None
+    for batch in batches:
+        for block, shard, data in zip(*(batch.column(c) for c in ("block", "shard", "data")),
+                                      strict=True):
+            if of != (of := shard.as_py()) or len(ids_of) > REMEMBERED:
+                ids_of = {}
+            found = []
+            for word in unpack_strings(data.as_py()):
+                ids = ids_of.get(word)
+                if ids is None:
+                    ids = ids_of[word] = encode(word.decode())
+                found.append(ids)
+            sizes = pack_numbers(np.fromiter(map(len, found), np.uint64, len(found)), LEVEL)
+            flat = pack_numbers(np.array([i for ids in found for i in ids], np.uint64), LEVEL)
+            yield block.as_py(), of, len(sizes).to_bytes(8, "little") + sizes + flat
 
 
 def reassembled(blocks: pa.Table, replies: pa.Table, path: str) -> Iterator[tuple]:
@@ -215,8 +222,9 @@ def encode_and_decode(
         for row in block_rows(batches, pattern, shards):
             yield from _table([row], _BLOCKS).to_batches()
 
-    def answer(packs: pa.Table) -> pa.Table:
-        return _table(answers(packs, ranks, pattern), _ANSWERS)
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in answers(batches, ranks, pattern):
+            yield from _table([row], _ANSWERS).to_batches()
 
     def reassemble(blocks: pa.Table, replies: pa.Table) -> pa.Table:
         return _table(list(reassembled(blocks, replies, ranks)), _ENCODED)
@@ -224,7 +232,8 @@ def encode_and_decode(
     rows = id_and_text(docs, id_column, text_column).mapInArrow(cut, BLOCKS)
     blocks = stored(rows, "word-blocks")
     packs = blocks.where(F.col("shard") != _OF_DOCUMENTS).select("block", "shard", "data")
-    replies = packs.groupBy("shard").applyInArrow(answer, ANSWERS)
+    replies = packs.repartition(shards, "shard").sortWithinPartitions("shard", "block").mapInArrow(
+        answer, ANSWERS)
     documents = blocks.where(F.col("shard") == _OF_DOCUMENTS)
     return documents.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         reassemble, ENCODED
