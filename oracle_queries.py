@@ -349,6 +349,9 @@ ORACLE |= {
     "all_ranks": f"""
 SELECT row_number() OVER (ORDER BY cnt DESC, word) AS rank, word, cnt FROM ({counts(ALL_LINES)})""",
     "all_stages": over_files(_WHOLE_RUN),
+    "total_order": f"""
+SELECT count(*) AS n_lines, 0::BIGINT AS within_files, 0::BIGINT AS between_files
+FROM ({counts(ALL_LINES)})""",
     "part_order": f"""
 SELECT stage, sum(n)::BIGINT AS n_lines, 0::BIGINT AS inversions FROM ({over_files(_WHOLE_RUN)})
 WHERE stage IN ('stage1_cleaned', 'stage2_wordcount', 'stage6_final') GROUP BY stage""",

@@ -390,6 +390,29 @@ def all_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first
 
 
+def total_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all words most frequent first, and neighbours out of order within and between files."""
+    base = tables.shared_folder(spark, "total-order")
+    counts = counting.word_counts(cleaning.clean_words(all_lines(spark, sf_dir)))
+    rendered.write_lines(rendered.count_lines(counts), f"{base}/counts")
+    stages.rank_words(spark, f"{base}/counts", f"{base}/ranked")
+    # Files by name, within a file by place: a row before another one is no less frequent.
+    at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    fields = F.split("value", "\t", 2)
+    placed = spark.read.text(f"{base}/ranked").select(
+        F.col("_metadata.file_name").alias("file"), at.alias("at"),
+        F.struct((-fields[1].cast("bigint")).alias("minus"), fields[0].alias("word")).alias("key"))
+    in_file = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    within = placed.withColumn("wrong", (in_file > F.col("key")).cast("int")).groupBy("file").agg(
+        F.count("*").alias("n"), F.sum("wrong").alias("wrong"),
+        F.min_by("key", "at").alias("first"), F.max_by("key", "at").alias("last"))
+    # One row for each part file.
+    between = F.lag("last").over(Window.orderBy("file")) > F.col("first")
+    return within.withColumn("between", between.cast("int")).agg(
+        F.sum("n").alias("n_lines"), F.coalesce(F.sum("wrong"), F.lit(0)).alias("within_files"),
+        F.coalesce(F.sum("between"), F.lit(0)).alias("between_files"))
+
+
 def part_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the sorted outputs, and neighbours in a part file that are out of order."""
     base = tables.shared_folder(spark, "run")
@@ -522,6 +545,7 @@ QUERIES: dict[str, Query] = {
     "file_length_stats": file_length_stats,
     "all_stages": all_stages,
     "part_order": part_order,
+    "total_order": total_order,
     "manifest_lines": manifest_lines,
     "manifest_sample": manifest_sample,
     "manifest_file_ids": manifest_file_ids,

@@ -439,6 +439,14 @@ def test_a_missing_shared_folder_is_an_error_on_a_cluster():
     assert tables.shared_folder(session("local[2]", "file:/w"), "x").startswith("file:/w/wordloom/x-")
 
 
+def test_all_words_in_rank_order_over_part_files(spark, tmp_path):
+    rows = [f"w{k}\t{1 + (k * 7919) % 50}" for k in range(3000)] + ["bad\tx"]
+    (tmp_path / "counts").write_text("".join(f"{r}\n" for r in rows))
+    stages.rank_words(spark, str(tmp_path / "counts"), str(tmp_path / "ranked"))
+    by_rank = sorted(rows[:-1], key=lambda r: (-int(r.split("\t")[1]), r.split("\t")[0]))
+    assert content(tmp_path / "ranked") == by_rank
+
+
 def test_length_stats_of_stored_words_by_file(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()

@@ -99,6 +99,17 @@ def top_n_words(
     text.write_lines(text.top_lines(top_words(counted, n)), output)
 
 
+def rank_words(spark: SparkSession, counts: str, output: str) -> None:
+    """``word<TAB>count`` lines to the same lines, all of them, most frequent first.
+
+    Part files follow one another in that order; bad lines are skipped.
+    """
+    spark = own_session(spark)
+    with settings_for(spark, words_in_files(list_files(spark, counts))):
+        counted = readers.lenient_counts(read_lines(spark, counts))
+        text.write_lines(text.ranked_lines(counted), output)
+
+
 def stored_ranking(
     count_lines: DataFrame, top_lines: DataFrame, min_count: int = fixed.MIN_COUNT
 ) -> DataFrame:

@@ -36,6 +36,14 @@ def count_lines(counts: DataFrame) -> DataFrame:
     return _lines(counts.sortWithinPartitions("word"), F.col("word"), F.col("cnt"))
 
 
+def ranked_lines(counts: DataFrame) -> DataFrame:
+    """Word counts, most frequent first, ties by word, in order from part file to part file.
+
+    A sort by range: no task has the words of all others.
+    """
+    return _lines(counts.orderBy(F.desc("cnt"), F.asc("word")), F.col("word"), F.col("cnt"))
+
+
 def length_lines(stats: DataFrame) -> DataFrame:
     """Length statistics by ascending length."""
     value = F.format_string(fixed.LENGTH_STATS_FORMAT, "cnt", "avg_per_partition")
