@@ -358,6 +358,10 @@ WHERE stage IN ('stage1_cleaned', 'stage2_wordcount', 'stage6_final') GROUP BY s
     "file_length_stats": f"""
 SELECT made, key, value FROM ({over_files(ORACLE["length_stats_text"])})
 CROSS JOIN (VALUES ('of_raw'), ('of_words')) AS ways(made)""",
+    "input_inventory": f"""
+SELECT files, bytes, bytes / 1048576::DOUBLE AS mb, bytes / 1073741824::DOUBLE AS gb FROM (
+    SELECT count(DISTINCT source) AS files, sum(octet_length(encode(line)) + 1)::BIGINT AS bytes
+    FROM ({RAW_LINES}) WHERE source LIKE 'documents-%' OR source LIKE 'conversations-%')""",
     "file_line_counts": f"""
 WITH raw AS ({RAW_LINES}),
 content AS (SELECT source, count(*) AS n FROM ({content("SELECT * FROM raw")}) GROUP BY source),

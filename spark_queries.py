@@ -355,6 +355,14 @@ def file_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_file.join(n_words, "raw_file", "left").na.fill(0, "n_words")
 
 
+def input_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and sizes of the plain raw files."""
+    files = manifest.list_files(
+        spark, raw_files(spark, sf_dir, tables.shared_folder(spark, "raw")))
+    packed = F.col("file").rlike("raw_file=(" + "|".join(PACKED) + ")-")
+    return manifest.input_inventory(files.where(~packed))
+
+
 def file_length_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length statistics by raw file, made from the raw files and from stage-1 text alone."""
     base = tables.shared_folder(spark, "lengths")
@@ -542,6 +550,7 @@ QUERIES: dict[str, Query] = {
     "final_ranking_text": final_ranking_text,
     "final_summary_text": final_summary_text,
     "file_line_counts": file_line_counts,
+    "input_inventory": input_inventory,
     "file_length_stats": file_length_stats,
     "all_stages": all_stages,
     "part_order": part_order,
