@@ -93,10 +93,12 @@ def scored(
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``.
 
-    Only texts and the labels of rows that are not held out are used. Null texts
-    are empty; repeated rows come back repeated, and of the rows of a labelled
-    id the one with the least hash of the text is learnt from; an empty table gives no rows; without labels all scores are
-    next to zero. Scoring is row by row, over whole texts.
+    Only texts and the labels of rows that are not held out are used. ``labels``
+    has the id as ``doc_id``, whatever ``id_column`` of ``docs`` is, and the label.
+    Null texts are empty; repeated rows come back repeated, and of the rows of a
+    labelled id the one with the least hash of the text is learnt from; an empty
+    table gives no rows; without labels all scores are next to zero. Scoring is
+    row by row, over whole texts.
     """
     rows = docs.select(
         docs[id_column].cast("bigint").alias("doc_id"), docs[text_column].cast("string").alias("text")
