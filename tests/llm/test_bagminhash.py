@@ -131,6 +131,21 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_joined_by_further_links(spark):
+    """The same as all links at once: new nodes, joined components, links within one."""
+    from wordloom.llm.components import joined_components
+
+    rng = random.Random(6)
+    first = [(rng.randrange(60), rng.randrange(60)) for _ in range(35)]
+    more = [(rng.randrange(90), rng.randrange(90)) for _ in range(25)] + [(95, 96), (97, 97)]
+    df = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    known = components(df(first))
+    for links in (more, more[:1], []):
+        found = [tuple(r) for r in joined_components(known, df(links)).collect()]
+        wanted = [tuple(r) for r in components(df([*first, *links])).collect()]
+        assert sorted(found) == sorted(wanted)
+
+
 def variants(n, words=100, changed=2):
     """A text and copies of it that are like it but, most of them, not like each other."""
     rng = random.Random(n)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.common import mixed, rolling, shingles, stored, unused, words_of
-from wordloom.llm.components import components
+from wordloom.llm.components import components, joined_components
 
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 6
@@ -366,13 +366,15 @@ def _classed(rows: DataFrame) -> DataFrame:
     buckets = _shared_buckets(nodes.where(F.size("bands") > 0))
     bags = _bags_of(rows, nodes, buckets.select("node").distinct())
     stars = stored(_verified(_star_pairs(buckets), bags), "star-links")
-    open_buckets = stored(_mixed(_with_components(buckets, components(stars))), "open-buckets")
+    known = stored(components(stars), "components")
+    open_buckets = stored(_mixed(_with_components(buckets, known)), "open-buckets")
     hubs = stored(_verified(_hub_pairs(open_buckets), bags), "hub-links")
-    links = stars.unionByName(hubs)
+    known = stored(joined_components(known, hubs), "components")
     # Buckets that are no longer mixed are left out; the others are few.
     left = open_buckets.drop("component")
-    left = stored(_mixed(_with_components(left, components(links))), "open-buckets")
-    tied = components(links.unionByName(stored(_remaining_links(left, bags), "block-links")))
+    left = stored(_mixed(_with_components(left, known)), "open-buckets")
+    more = stored(_remaining_links(left, bags), "block-links")
+    tied = joined_components(known, more)
     of_node = nodes.select("node", "digest").join(tied, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("class")
     )

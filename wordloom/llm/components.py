@@ -53,3 +53,20 @@ def components(links: DataFrame) -> DataFrame:
         edges = stored(_small_star(stored(_large_star(edges), "edges")), "edges")
     roots = edges.select(F.col("v").alias("u")).distinct()
     return edges.unionByName(roots.select("u", F.col("u").alias("v"))).toDF("node", "component")
+
+
+def joined_components(known: DataFrame, links: DataFrame) -> DataFrame:
+    """``node, component`` when further ``links`` (a, b) join the stored components ``known``.
+
+    Only the components that the links tie to each other are looked at again: a link
+    becomes one between its ends' components, a node without one being its own.
+    """
+    of = lambda side: known.select(
+        F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+    ends = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    tied = stored(components(ends), "joined")
+    over = tied.select(F.col("node").alias("component"), F.col("component").alias("least"))
+    moved = known.join(over, "component", "left").select(
+        "node", F.coalesce("least", "component").alias("component"))
+    return moved.unionByName(tied.join(known.select("node"), "node", "left_anti"))
