@@ -421,6 +421,25 @@ def total_order(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.sum("between"), F.lit(0)).alias("between_files"))
 
 
+def key_runs(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    """``file, at, key, n``: the runs of lines of equal keys of every part file, by place.
+
+    Lines are counted by split and key where they are read, so a sorted file leaves a
+    row per key. In files where a key comes back after others every line is a run.
+    """
+    file, pos = F.col("_metadata.file_name"), F.monotonically_increasing_id()
+    block, key = F.col("_metadata.file_block_start"), F.substring_index("value", "\t", 1)
+    place = (file.alias("file"), block.alias("block"), pos.alias("pos"), key.alias("key"))
+    lines_of = spark.read.text(path)
+    runs = tables.write_table(lines_of.select(*place).groupBy("file", "block", "key").agg(
+        F.min("pos").alias("pos"), F.max("pos").alias("last"), F.count("*").alias("n")), folder)
+    broken = runs.where(F.col("last") - F.col("pos") + 1 != F.col("n")).select("file").distinct()
+    names = [row.file for row in broken.collect()]  # of part files
+    single = lines_of.where(file.isin(names)).select(*place).withColumn("n", F.lit(1).cast("bigint"))
+    whole = runs.where(~F.col("file").isin(names)).drop("last")
+    return whole.unionByName(single).select("file", F.struct("block", "pos").alias("at"), "key", "n")
+
+
 def part_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the sorted outputs, and neighbours in a part file that are out of order."""
     base = tables.shared_folder(spark, "run")
@@ -428,17 +447,15 @@ def part_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = run_pipeline(spark, raw, f"{base}/out", sorted_words=True)
     found = []
     for stage in (fixed.STAGE_DIRS[k] for k in (0, 1, 5)):
-        at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-        placed = spark.read.text(paths[stage]).select(
-            F.split("value", "\t", 2)[0].alias("key"), at.alias("at"),
-            F.col("_metadata.file_path").alias("file"))
+        runs = key_runs(spark, paths[stage], f"{base}/runs/{stage}")
         before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
-        found.append(placed.select(F.lit(stage).alias("stage"), (before > F.col("key")).alias("wrong")))
+        found.append(runs.select(
+            F.lit(stage).alias("stage"), "n", (before > F.col("key")).alias("wrong")))
     first, *rest = found
     for df in rest:
         first = first.unionByName(df)
     wrong = F.coalesce(F.col("wrong").cast("int"), F.lit(0))
-    return first.groupBy("stage").agg(F.count("*").alias("n_lines"), F.sum(wrong).alias("inversions"))
+    return first.groupBy("stage").agg(F.sum("n").alias("n_lines"), F.sum(wrong).alias("inversions"))
 
 
 # --- manifests and inputs ----------------------------------------------------

@@ -561,3 +561,25 @@ def test_command_line(spark, four_lines, tmp_path, capsys):
     assert cli.main([str(four_lines), str(tmp_path / "out")]) == 0
     assert re.search("stage6_final: .*/out/stage6_final", capsys.readouterr().out)
     check_text_results(tmp_path / "out")
+
+
+def test_runs_of_part_files(spark, tmp_path):
+    """A sorted file leaves a row per word, an unsorted one all its lines."""
+    import spark_queries as q
+
+    (tmp_path / "part-a").write_text("b\t1\nb\t\nc\t\nc\t\na\n")
+    (tmp_path / "part-b").write_text("c\t\na\t\nc\t\nc\t\n\nd\t\n")
+    rows = q.key_runs(spark, str(tmp_path), str(tmp_path / "_runs")).collect()
+    found = [(r.file, r.key, r.n) for r in sorted(rows, key=lambda r: (r.file, r.at))]
+    assert found == [("part-a", "b", 2), ("part-a", "c", 2), ("part-a", "a", 1)] + [
+        ("part-b", key, 1) for key in ("c", "a", "c", "c", "", "d")]
+
+
+def test_words_are_counted_before_they_are_sorted(spark):
+    words = spark.createDataFrame(
+        [("b",)] * 2500 + [("a",)] * 1000 + [("é",)] + [("b",)] * 501, "word string")
+    lines = text.word_lines(words.coalesce(1), ordered=True)
+    assert [(r.key, r.value) for r in lines.coalesce(1).collect()] == (
+        [("a", "")] * 1000 + [("b", "")] * 3001 + [("é", "")])
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Sort [") < plan.index("Aggregate [")

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from wordloom import fixed_values as fixed
 
+REPEATS = 1000
+
 
 def _lines(df: DataFrame, key, value, kept: Sequence[str] = ()) -> DataFrame:
     return df.select(key.cast("string").alias("key"), value.cast("string").alias("value"), *kept)
@@ -25,12 +27,25 @@ def word_lines(
 
     If ``ordered``, sorted by word within each part file. ``kept`` names columns
     that stay, for folders.
+
+    Without folders a task counts its words first, so that distinct words are
+    sorted, not occurrences. Counted by task, a frequent word is no hot key.
     """
-    if ordered:
+    if ordered and not kept:
+        words = _repeated(words.groupBy(F.spark_partition_id().alias("task"), "word")
+                          .agg(F.count(F.lit(1)).alias("n")).sortWithinPartitions("word"))
+    elif ordered:
         words = words.sortWithinPartitions(*kept, "word")
     return _lines(words, F.col("word"), F.lit(""), kept)
 
 
+def _repeated(counts: DataFrame) -> DataFrame:
+    """``word`` as often as ``n`` says, in the order of the rows; at most REPEATS in one array."""
+    rest = F.explode(F.sequence("n", F.lit(1), F.lit(-REPEATS))).alias("rest")
+    some = F.least("rest", F.lit(REPEATS)).cast("int")
+    return counts.select("word", rest).select(F.explode(F.array_repeat("word", some)).alias("word"))
+
+
 def count_lines(counts: DataFrame) -> DataFrame:
     """Word counts sorted by word within each part file."""
     return _lines(counts.sortWithinPartitions("word"), F.col("word"), F.col("cnt"))
