@@ -583,3 +583,28 @@ def test_words_are_counted_before_they_are_sorted(spark):
         [("a", "")] * 1000 + [("b", "")] * 3001 + [("é", "")])
     plan = lines._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Sort [") < plan.index("Aggregate [")
+
+
+def test_first_words_are_found_once(lines_of):
+    """A filter on the word was pushed below and ran the pattern a second time."""
+    words = readers.first_words(lines_of(["a\t", " \x01", "\x02b c", "", "d\x00", "e\x01\t\x03"]))
+    assert [r.word for r in words.collect()] == ["a", "b", "d", "e"]
+    plan = words._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract") == 1
+
+
+def test_words_by_file_are_not_sorted(spark, tmp_path, monkeypatch):
+    (tmp_path / "raw").mkdir()
+    for name in ("a", "b", "c"):
+        (tmp_path / "raw" / name).write_text(f"{name}x {name}y\n")
+    seen = []
+    write = text.write_lines
+    monkeypatch.setattr(text, "write_lines", lambda lines, *a, **b: (seen.append(
+        lines.sparkSession.conf.get("spark.sql.maxConcurrentOutputFileWriters")), write(lines, *a, **b)))
+    for k, limit in enumerate((stages.OPEN_FILES, 1)):  # beyond the limit the rest is sorted
+        monkeypatch.setattr(stages, "OPEN_FILES", limit)
+        stages.clean_text(spark, str(tmp_path / "raw"), str(tmp_path / f"w{k}"), by_file=True)
+        found = [sorted(f.read_text() for f in d.glob("part-*"))
+                 for d in sorted((tmp_path / f"w{k}").glob("part=*"))]
+        assert sorted(found) == [[f"{n}x\t\n{n}y\t\n"] for n in ("a", "b", "c")]
+    assert seen == ["64", "1"]

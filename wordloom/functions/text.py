@@ -95,9 +95,9 @@ def letter_runs(c: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(_col(c)), F.lit(r"\p{L}+"), F.lit(0))
 
 
-def first_token(c: Column | str) -> Column:
-    """Text before the first white space of the trimmed line, '' if blank."""
-    return F.regexp_extract(trim_blanks(c), r"\A\S+", 0)
+def first_tokens(c: Column | str) -> Column:
+    """Array of the text before the first white space of the trimmed line; empty if blank."""
+    return F.regexp_extract_all(trim_blanks(c), F.lit(r"\A\S+"), F.lit(0))
 
 
 def utf16_length(c: Column | str) -> Column:

@@ -21,6 +21,8 @@ from wordloom.sources import words as readers
 from wordloom.sources.lines import read_lines, spread
 from wordloom.sources.manifest import list_files
 
+OPEN_FILES = 64  # of a task that writes folders; beyond them it sorts
+
 
 def clean_text(
     spark: SparkSession,
@@ -34,9 +36,11 @@ def clean_text(
 
     ``partitions`` deals the raw lines over that many tasks first. ``by_file``
     writes a folder for each raw file, named by the hash of its path, so that
-    ``stored_length_stats`` knows which file a word is from.
+    ``stored_length_stats`` knows which file a word is from. A task reads few raw
+    files and keeps its output files open, so the words need no sort by file.
     """
     spark = own_session(spark)
+    spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES))
     with settings_for(spark):
         kept = ["part"] if by_file else []
         lines = spread(read_lines(spark, raw).select("line", *kept), partitions)

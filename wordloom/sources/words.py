@@ -19,11 +19,11 @@ _WHOLE_NUMBER = r"\A[+-]?[0-9]+\z"
 def first_words(lines: DataFrame) -> DataFrame:
     """``word``: the first white-space token of each line that is not blank.
 
-    Other columns of ``lines`` are passed through.
+    Other columns of ``lines`` are passed through. Exploded, since a filter on the
+    word would find it a second time.
     """
     others = [c for c in lines.columns if c != "line"]
-    words = lines.select(*others, text.first_token("line").alias("word"))
-    return words.where(F.col("word") != "")
+    return lines.select(*others, F.explode(text.first_tokens("line")).alias("word"))
 
 
 def _fields(lines: DataFrame) -> DataFrame:
