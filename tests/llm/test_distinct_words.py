@@ -63,3 +63,32 @@ def test_packed_values():
         assert (common.unpack_numbers(common.pack_numbers(values)) == values).all()
     for strings in ([], [b""], [b"a", b"", b"\x00b" * 9]):
         assert common.unpack_strings(common.pack_strings(strings)) == strings
+
+
+def test_lists_are_gathered():
+    flat, sizes = np.arange(10, 20), np.array([3, 0, 2, 5])
+    ends = common.list_ends(sizes)
+    assert ends.tolist() == [0, 3, 3, 5, 10]
+    for chosen, found in (([], []), ([1], []), ([2, 0, 1, 2], [13, 14, 10, 11, 12, 13, 14])):
+        assert common.gathered(flat, ends, np.array(chosen, np.uint32)).tolist() == found
+
+
+def test_ends_are_made_once_a_block(monkeypatch):
+    """They were summed up for every document: documents times distinct words of a block."""
+    import pyarrow as pa
+
+    texts = [f"w{k} x" for k in range(50)]
+    monkeypatch.setattr(distinct_words.TaskContext, "get", lambda: type("", (), {
+        "partitionId": staticmethod(lambda: 0)}))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(50)), "text": texts})
+    rows = list(distinct_words.block_rows([batch], public_tokenizers.PATTERN, 3))
+    packs = distinct_words._table(rows[1:], distinct_words._BLOCKS)
+    replies = distinct_words._table(list(distinct_words.answers(
+        packs.to_batches(), PATH, public_tokenizers.PATTERN)), distinct_words._ANSWERS)
+    distinct_words.token_bytes(PATH)
+    made = []
+    monkeypatch.setattr(distinct_words, "list_ends",
+                        lambda sizes: made.append(len(sizes)) or common.list_ends(sizes))
+    found = list(distinct_words.reassembled(
+        distinct_words._table(rows[:1], distinct_words._BLOCKS), replies, PATH))
+    assert [r[3].decode() for r in found] == texts and len(made) == 1

@@ -188,10 +188,17 @@ def unpack_strings(data: bytes) -> list[bytes]:
     return [body[a:b] for a, b in zip([0, *ends], ends)]
 
 
-def gathered(flat: np.ndarray, sizes: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The lists numbered ``chosen`` of those that ``sizes`` cuts ``flat`` into, and their sizes."""
-    starts = np.cumsum(sizes) - sizes
-    wanted = sizes[chosen]
+def gathered(flat: np.ndarray, ends: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The lists numbered ``chosen``, end to end; list k of ``flat`` ends before ``ends[k + 1]``.
+
+    ``ends`` begins with 0 and is made once for all calls: a call's work is what it returns.
+    """
+    starts = ends[chosen]
+    wanted = ends[chosen + 1] - starts
     before = np.cumsum(wanted) - wanted
-    places = np.repeat(starts[chosen] - before, wanted) + np.arange(int(wanted.sum()))
-    return flat[places], wanted
+    return flat[np.repeat(starts - before, wanted) + np.arange(int(wanted.sum()))]
+
+
+def list_ends(sizes: np.ndarray) -> np.ndarray:
+    """The ``ends`` of ``gathered`` for lists of these sizes."""
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from wordloom.llm.common import (
     gathered,
     id_and_text,
+    list_ends,
     pack_numbers,
     pack_strings,
     shuffle_partitions,
@@ -144,11 +145,11 @@ def _encoding(path: str, pattern: str) -> tiktoken.Encoding:
 
 @functools.lru_cache(maxsize=2)
 def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray]:
-    """The token-byte table: all bytes end to end, and each id's number of bytes."""
+    """The token-byte table: all bytes end to end, and where each id's bytes end."""
     of = {rank: token for token, rank in _ranks(path).items()}
     tokens = [of.get(k, b"") for k in range(max(of) + 1)]
     return (np.frombuffer(b"".join(tokens), np.uint8),
-            np.fromiter(map(len, tokens), np.int64, len(tokens)))
+            list_ends(np.fromiter(map(len, tokens), np.int64, len(tokens))))
 
 
 def answers(batches: Iterator[pa.RecordBatch], path: str, pattern: str) -> Iterator[tuple]:
@@ -184,8 +185,8 @@ def reassembled(blocks: pa.Table, replies: pa.Table, path: str) -> Iterator[tupl
         at = 8 + int.from_bytes(reply[:8], "little")
         sizes.append(unpack_numbers(reply[8:at]).astype(np.int64))
         flat.append(unpack_numbers(reply[at:]).astype(np.uint32))
-    word_sizes, word_ids = np.concatenate(sizes), np.concatenate(flat)
-    table, token_sizes = token_bytes(path)
+    word_ends, word_ids = list_ends(np.concatenate(sizes)), np.concatenate(flat)
+    table, token_ends = token_bytes(path)
     for row in blocks.to_pylist():
         at = 8 + int.from_bytes(row["data"][:8], "little")
         # Answers come by shard; within a shard in the order of the words' numbers.
@@ -194,8 +195,8 @@ def reassembled(blocks: pa.Table, replies: pa.Table, path: str) -> Iterator[tupl
         place[by_shard] = np.arange(len(by_shard))
         codes, at = place[unpack_numbers(row["data"][at:]).astype(np.int64)], 0
         for doc_id, n_words in zip(row["doc_ids"], row["n_words"], strict=True):
-            ids, _ = gathered(word_ids, word_sizes, codes[at : at + n_words])
-            decoded, _ = gathered(table, token_sizes, ids)  # the join with the token-byte table
+            ids = gathered(word_ids, word_ends, codes[at : at + n_words])
+            decoded = gathered(table, token_ends, ids)  # the join with the token-byte table
             yield doc_id, len(ids), ids.astype("<u4").tobytes(), decoded.tobytes()
             at += n_words
 
